@@ -15,10 +15,11 @@ from tandem.functions.numeric import unit_hash
 from tandem.operators import metrics as met, svd
 from tandem.operators.fusion import FusedModel
 from tandem.operators.ordering import union_all
+from tandem.session import local_rows
 
 
 def fit_logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", balanced: bool = False,
-                 features: str = "features", max_iter: int = 500, tol: float = 1e-8) -> Model:
+                 features: str = "features", max_iter: int = 500, tol: float = 1e-7) -> Model:
     """Regularised logistic regression; a larger ``C`` penalises less.
 
     The loss here is a mean over rows, so the strength is 1 / (C * rows).
@@ -40,10 +41,10 @@ def fit_logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", balanced
 
 def predict(model: Model, df: DataFrame, name: str, features: str = "features") -> DataFrame:
     """(id, split, model, label, proba)."""
-    scored = model.transform(df.withColumnRenamed(features, model.getFeaturesCol())
-                             if features != model.getFeaturesCol() else df)
-    return scored.select(
-        "id", "split", F.lit(name).alias("model"), F.col("target").cast("int").alias("label"),
+    rows = df.select("id", "split", F.col("target").cast("int").alias("label"),
+                     F.col(features).alias(model.getFeaturesCol()))
+    return model.transform(rows).select(
+        "id", "split", F.lit(name).alias("model"), "label",
         vector_to_array("probability")[1].alias("proba"))
 
 
@@ -53,7 +54,6 @@ def classify(preds: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def coefficient_table(model: Model, fused: FusedModel, spark) -> DataFrame:
     """(feature, block, coef, abs_coef), one row per fused column."""
-    from tandem.session import local_rows
     values = model.coefficients.toArray().tolist()
     rows = local_rows(spark, {"idx": list(range(len(values))), "coef": values}, "idx int, coef double")
     return (fused.feature_dict(spark).join(rows, "idx")

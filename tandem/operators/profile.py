@@ -115,14 +115,18 @@ def quality_report(df: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: Column, bins: int) -> DataFrame:
-    """Equal-width bins over the data range; the maximum falls in the last bin."""
+    """Equal-width bins over the data range; the maximum falls in the last bin.
+
+    A constant column is binned over one unit around its value.
+    """
     x = F.col("x")
     values = df.select(column.cast("double").alias("x")).where(x.isNotNull())
     low, high = values.agg(F.min("x"), F.max("x")).first()
     if low is None:
-        return values.select(F.lit(0).alias("bin"), "x").groupBy("bin").agg(
-            F.min("x").alias("bin_start"), F.count("*").alias("count"))
-    width = (high - low) / bins or 1.0
+        low, high = 0.0, 1.0
+    if low == high:
+        low, high = low - 0.5, high + 0.5
+    width = (high - low) / bins
     slot = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     return values.groupBy(slot.alias("bin")).agg(F.count("*").alias("count")).withColumn(
         "bin_start", F.lit(low) + F.col("bin") * F.lit(width))
