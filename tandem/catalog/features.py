@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tandem import config as cfg
 from tandem.catalog import base as b
 from tandem.catalog.base import clean_list, cleaned, query, r, rnd, sql, term_list
 from tandem.functions import text as txt
-from tandem.operators import fusion, svd, tabular as tab, textblock as tx
+from tandem.operators import fusion, learn, svd, tabular as tab, textblock as tx
 from tandem.operators.ordering import union_all
 from tandem.sources import tables as t
 from tandem.session import pinned
@@ -196,11 +197,22 @@ def fx_svd(spark, d):
     block = b.post_block(spark, d)
     rows = block.transform(b.post_tokens(spark, d))
     basis = svd.fit_svd(rows, "text_vec", 20)
-    from pyspark.ml.functions import vector_to_array
     out = svd.project(rows, "text_vec", basis).select("id", vector_to_array("text_svd").alias("v"))
     return out.select("id", F.posexplode("v").alias("component", "value"))
 
 
+@query("fx_svd_full", sql(f"""
+    SELECT id, CASE WHEN count(term) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS energy
+    FROM rec LEFT JOIN cw USING (id) GROUP BY id""", "rec", "cw"))
+def fx_svd_full(spark, d):
+    """At full rank a projection keeps the length of every (unit) row."""
+    data = b.prepared(spark, d)
+    basis = svd.fit_svd(data.train, "text_vec", data.model.text.width)
+    v = vector_to_array("text_svd")
+    return svd.project(data.rows, "text_vec", basis).select(
+        "id", rnd(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)).alias("energy"))
+
+
 @query("fx_gram", sql(f"""
     SELECT a.term AS term_a, c.term AS term_b, {r('sum(a.weight * c.weight)')} AS dot
     FROM cw a JOIN cw c ON a.id = c.id AND a.term <= c.term JOIN train t ON t.id = a.id GROUP BY 1, 2""",
@@ -210,13 +222,21 @@ def fx_gram(spark, d):
     return svd.gramian_table(data.train, "text_vec", data.model.text).withColumn("dot", rnd("dot"))
 
 
-@query("fx_dense_pack")
+@query("fx_dense_pack", sql(f"""
+    SELECT id, split, {r('log_goal')} AS log_goal, {r('duration_days')} AS duration_days,
+           coalesce(k.code, n)::DOUBLE AS country_code, (11 + least(10, w))::INTEGER AS width
+    FROM rec LEFT JOIN (SELECT level AS country, code FROM levels WHERE "column" = 'country') k USING (country),
+         (SELECT count(*) AS n FROM levels WHERE "column" = 'country'), (SELECT count(*) AS w FROM cvocab)""",
+    "rec", "levels", "cvocab"))
 def fx_dense_pack(spark, d):
-    from tandem.operators import learn
-    from pyspark.ml.functions import vector_to_array
     data = b.prepared(spark, d)
     pack = learn.fit_dense(data.train, data.model, 10)
-    return pack.transform(data.rows).select("id", "split", F.size(vector_to_array("dense")).alias("width"))
+    v = vector_to_array("dense")
+    at = pack.inputs.index
+    return pack.transform(data.rows).select(
+        "id", "split", rnd(v[at("log_goal")]).alias("log_goal"),
+        rnd(v[at("duration_days")]).alias("duration_days"),
+        v[at("code__country")].alias("country_code"), F.size(v).alias("width"))
 
 
 @query("fx_names", sql("SELECT feature, block, source_column FROM features", "features"))

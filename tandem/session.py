@@ -45,8 +45,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def enable_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tandem/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the application's own folder, which can be dropped as a whole."""
+    return f"{shared_dir(spark)}/tandem/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
