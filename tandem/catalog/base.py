@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tandem import config as cfg
-from tandem.functions.text import WHITESPACE, model_tokens
+from tandem.functions.text import WHITESPACE, clean_tokens
 from tandem.operators import prepare, scorecard as sc, split
 from tandem.operators.fusion import FeatureSpec, FusedModel, fit_features
 from tandem.operators.textblock import TextBlock, fit_text, tokens_of
@@ -300,9 +300,9 @@ def prepared(spark: SparkSession, folder: str) -> training.Prepared:
 
 
 def post_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    posts = prepare.add_clean_title(tables.posts(spark, folder))
-    return posts.select("id", "main_category", "target", "name_clean",
-                        model_tokens(F.col("name_clean")).alias("tokens"))
+    """Posts as token lists, straight from the raw text."""
+    tokens = F.filter(clean_tokens(F.col("name")), lambda w: F.length(w) >= cfg.MIN_TOKEN_LENGTH)
+    return tables.posts(spark, folder).select("id", "main_category", "target", tokens.alias("tokens"))
 
 
 @shared

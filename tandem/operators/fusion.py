@@ -107,7 +107,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec(),
             hot = OneHotEncoder(inputCols=[f"bin__{column}_{n}"], outputCols=[f"hotbin__{column}_{n}"],
                                 dropLast=False)
             stages.extend([cut, hot.fit(cut.transform(probe))])
-        return [f"bin {i}" for i in range(len(edges[column, n]) - 1)]
+        return [f"bin {i} of {n}" for i in range(len(edges[column, n]) - 1)]
 
     for base, column in spec.slopes:
         out = f"slope__{base}_{column}"

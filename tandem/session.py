@@ -14,22 +14,28 @@ from tandem.config import BROADCAST_ROWS
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(app: str = "tandem", cores: int | None = None) -> SparkSession:
+def build_session(app: str = "tandem", cores: int | None = None, **conf: str) -> SparkSession:
     """Local session for tests and benches; a cluster brings its own settings."""
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]").appName(app)
-        .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "12g")
-        .config("spark.ui.enabled", "false")
-        .getOrCreate()
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": str(cores),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.driver.memory": "12g",
+        "spark.ui.enabled": "false",
+        **conf,
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, from ``spark.checkpoint.dir``.
 
@@ -40,9 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="tandem-")
-    spark.conf.set(CHECKPOINT_KEY, path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tandem-")
+    return _LOCAL_DIRS[app]
 
 
 def enable_checkpoints(spark: SparkSession) -> None:

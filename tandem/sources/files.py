@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tandem.sources.tables import CAMPAIGN_SCHEMA
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
+# Quotes are doubled, line breaks kept, and white space at a value's ends is data.
+CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_campaign_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -16,16 +18,16 @@ def read_campaign_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_campaign_csv(df: DataFrame, path: str) -> None:
     df.select(*CAMPAIGN_SCHEMA.names).write.options(
-        header="true", escape='"', quoteAll="true", emptyValue="").csv(path)
+        **CSV_OPTIONS, quoteAll="true", emptyValue="").csv(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
     """One CSV file for a report table (grids, metrics, top-k lists)."""
-    df.coalesce(1).write.options(header="true", escape='"', quoteAll="true").csv(path)
+    df.coalesce(1).write.options(**CSV_OPTIONS, quoteAll="true").csv(path)
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.options(header="true", escape='"').schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
 def write_blocks(df: DataFrame, path: str) -> None:
