@@ -94,7 +94,7 @@ _DESCRIBED = ("usd_goal_real", "duration_days", "name_len", "name_words")
            {r(f'quantile_cont({c}, 0.75)', 4)} AS q75 FROM (SELECT {c}::DOUBLE AS {c} FROM labelled)"""
     for c in _DESCRIBED), "labelled"))
 def agg_describe(spark, d):
-    out = profile.describe(b.labelled(spark, d), _DESCRIBED)
+    out = profile.describe(b.measures(spark, d), _DESCRIBED)
     return out.withColumns({c: rnd(c, 4) for c in ("mean", "std", "min", "max", "q25", "q50", "q75")})
 
 
@@ -205,7 +205,7 @@ def agg_modal_child(spark, d):
     SELECT {r('quantile_cont(usd_goal_real, 0.5)')} AS goal_usd, {r('quantile_cont(duration_days, 0.5)')} AS duration_days,
            max(launch_year::INTEGER)::VARCHAR AS launch_year FROM eng""", "eng"))
 def agg_medians(spark, d):
-    df = b.modelling(spark, d)
+    df = b.records(spark, d)
     middle = ordering.exact_quantiles(df, ["usd_goal_real", "duration_days"], [0.5])
 
     def of(column):
@@ -262,7 +262,7 @@ def spl_two_way(spark, d):
 
 @query("spl_three_way", sql("SELECT id, target, split FROM split3", "split3"))
 def spl_three_way(spark, d):
-    return split.three_way(b.modelling(spark, d).select("id", "target"))
+    return split.three_way(b.labels(spark, d))
 
 
 @query("spl_hash_bucket", sql(f"""

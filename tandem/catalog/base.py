@@ -17,6 +17,7 @@ from tandem.operators import prepare, scorecard as sc, split
 from tandem.operators.fusion import FeatureSpec, FusedModel, fit_features
 from tandem.operators.textblock import TextBlock, fit_text, tokens_of
 from tandem.plans import training
+from tandem.session import local_rows, stage
 from tandem.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -328,7 +329,6 @@ def hashed_card(spark: SparkSession, folder: str) -> sc.Scorecard:
 
 @shared
 def hashed_coefficients(spark: SparkSession, folder: str) -> DataFrame:
-    from tandem.session import local_rows
     model = features(spark, folder)
     coefs = [hashed_coef(n) for n in model.names]
     return local_rows(spark, {"feature": model.names, "block": model.blocks, "coef": coefs,
@@ -336,9 +336,24 @@ def hashed_coefficients(spark: SparkSession, folder: str) -> DataFrame:
                       "feature string, block string, coef double, abs_coef double")
 
 
+@shared
 def scores(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.scores(spark, folder)
+    """Scored rows as a stored predictions table, the way evaluation meets them."""
+    return stage(tables.scores(spark, folder), "scores")
+
+
+@shared
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and labels of the modelling rows, stored: fitting a split reads them again."""
+    return stage(modelling(spark, folder).select("id", "target"), "labels")
+
+
+@shared
+def measures(spark: SparkSession, folder: str) -> DataFrame:
+    """The numeric columns of the labelled rows, stored for multi-pass summaries."""
+    return stage(labelled(spark, folder).select(
+        "usd_goal_real", "duration_days", "name_len", "name_words"), "measures")
 
 
 def two_way(spark: SparkSession, folder: str) -> DataFrame:
-    return split.two_way(modelling(spark, folder).select("id", "target"))
+    return split.two_way(labels(spark, folder))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tandem.catalog import base as b
 from tandem.catalog.base import query, shared
 from tandem.operators import learn, metrics as met, svd
+from tandem.operators.ordering import union_all
 from tandem.plans import ablation, training
 from tandem.session import stage
 from tandem.sources import tables as t
@@ -56,9 +57,9 @@ def ml_sweep_c(spark, d):
 def ml_sweep_c_traintest(spark, d):
     """Train and test rows per strength, for the record; nothing is chosen here."""
     found, rows = sweep(spark, d), b.prepared(spark, d).rows
-    return ablation.collected([
-        met.score(learn.predict(m, rows.where(F.col("split") != "val"), f"C={C}"), 0.5, ("model", "split"))
-        for C, m in found.models.items()])
+    rows = rows.where(F.col("split") != "val")
+    preds = union_all([learn.predict(m, rows, f"C={C}") for C, m in found.models.items()])
+    return met.score(preds, 0.5, ("model", "split"))
 
 
 @query("ml_predict")
@@ -113,7 +114,7 @@ def ml_interaction_check(spark, d):
     data = b.prepared(spark, d)
     spec = replace(data.model.spec, slopes=((cfg.CROSS_BASE, cfg.CROSS_WITH),))
     crossed = training.fit_prepared(data.records, spec, text=data.model.text, tabular=data.model.tabular)
-    return ablation.evaluate(crossed.rows, "with slopes", 1.0)[0]
+    return met.score(ablation.fit_predict(crossed.rows, "with slopes", 1.0), 0.5, ("model", "split"))
 
 
 @query("ml_train_job")

@@ -69,11 +69,12 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec(),
 
     Already fitted blocks may be passed in, so runs that share a block fit it once.
     """
-    if spec.with_text and text is None:
-        text = fit_text(tokens_of(train), max_terms=spec.max_terms, min_doc_freq=spec.min_doc_freq)
     if (tabular is None or tabular.numeric != list(spec.numeric)
             or tabular.categorical != list(spec.categorical)):
         tabular = tab.fit_tabular(train, spec.numeric, spec.categorical)
+    if spec.with_text and text is None:
+        text = fit_text(tokens_of(train), max_terms=spec.max_terms, min_doc_freq=spec.min_doc_freq,
+                        n_docs=tabular.n_rows)
 
     stages: list[Transformer] = [tabular.scale_stage(TOKENS_SQL if spec.with_text else "")]
     parts, names, blocks, sources = [], [], [], []

@@ -15,7 +15,7 @@ from tandem.functions.numeric import unit_hash
 from tandem.operators import metrics as met, svd
 from tandem.operators.fusion import FusedModel
 from tandem.operators.ordering import union_all
-from tandem.session import enable_checkpoints, local_rows
+from tandem.session import enable_checkpoints, in_parallel, local_rows
 
 
 def fit_logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", balanced: bool = False,
@@ -67,20 +67,22 @@ class Sweep:
     models: dict[float, Model]
 
 
-def sweep_strength(rows: DataFrame, grid=cfg.C_GRID, splits=("val",)) -> Sweep:
+def sweep_strength(rows: DataFrame, grid=cfg.C_GRID, splits=("val",), workers: int = 2) -> Sweep:
     """Fit each strength on train; choose by validation F1, the smallest C on ties.
 
-    The driver keeps one model per grid value and collects one row per value.
+    The driver keeps one model per grid value and collects one row per value. All
+    models' predictions are scored together.
     """
     train = rows.where(F.col("split") == "train")
-    models = {C: fit_logistic(train, C) for C in grid}
-    scored = union_all([
-        met.score(predict(m, rows.where(F.col("split").isin(*splits)), f"C={C}"), 0.5, ("split",))
-        .select(F.lit(i).alias("grid_index"), F.lit(C).alias("C"), "split", "threshold", *met.METRICS)
-        for i, (C, m) in enumerate(models.items())])
+    fitted = in_parallel([lambda C=C: fit_logistic(train, C) for C in grid], workers)
+    held = rows.where(F.col("split").isin(*splits))
+    preds = union_all([
+        predict(m, held, f"C={C}").withColumns({"grid_index": F.lit(i), "C": F.lit(float(C))})
+        for i, (C, m) in enumerate(zip(grid, fitted))])
+    scored = met.score(preds, 0.5, ("grid_index", "C", "split")).orderBy("grid_index", "split")
     table = scored.sparkSession.createDataFrame(scored.collect(), scored.schema)
     best = met.best_row(table.where(F.col("split") == "val"), "f1", "grid_index").first()["C"]
-    return Sweep(table, best, models)
+    return Sweep(table, best, dict(zip(map(float, grid), fitted)))
 
 
 # --- trees ------------------------------------------------------------------

@@ -104,8 +104,9 @@ def tokens_of(df: DataFrame, clean: str = "name_clean", low: int = 1, high: int
 
 
 def fit_text(train: DataFrame, tokens: str = "tokens", max_terms: int = cfg.MAX_TERMS,
-             min_doc_freq: int = cfg.MIN_DOC_FREQ) -> TextBlock:
-    n_docs = train.count()
+             min_doc_freq: int = cfg.MIN_DOC_FREQ, n_docs: int | None = None) -> TextBlock:
+    """Vocabulary of ``train``; pass ``n_docs`` where its row count is already known."""
+    n_docs = train.count() if n_docs is None else n_docs
     picked = pick_terms(term_counts(train, F.col(tokens)), max_terms, min_doc_freq)
     return block_from_counts(train.sparkSession, picked, n_docs, max_terms)
 

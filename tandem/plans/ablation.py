@@ -16,6 +16,7 @@ from tandem.operators import learn, metrics as met
 from tandem.operators.fusion import FeatureSpec
 from tandem.operators.ordering import union_all
 from tandem.plans.training import Prepared, fit_prepared
+from tandem.session import in_parallel, local_rows
 
 # What each group adds to the basic columns (raw goal, duration, four level columns).
 FEATURE_GROUPS = {
@@ -38,32 +39,41 @@ INTERACTIONS = {
 }
 
 
-def evaluate(rows: DataFrame, name: str, C: float, features: str = "features",
-             splits=("val", "test"), threshold: float = 0.5, **fit) -> tuple[DataFrame, DataFrame]:
-    """Fit on train; (metric rows per split, predictions)."""
+def fit_predict(rows: DataFrame, name: str, C: float, features: str = "features",
+                splits=("val", "test"), **fit) -> DataFrame:
+    """Fit on train, predict the held-out splits."""
     model = learn.fit_logistic(rows.where(F.col("split") == "train"), C, features=features, **fit)
-    preds = learn.predict(model, rows.where(F.col("split").isin(*splits)), name, features)
-    return met.score(preds, threshold, ("model", "split")), preds
+    return learn.predict(model, rows.where(F.col("split").isin(*splits)), name, features)
 
 
-def collected(tables: list[DataFrame]) -> DataFrame:
-    """Run the variants now: a few metric rows each, kept as a small table."""
-    table = union_all(tables)
+def collected(table: DataFrame) -> DataFrame:
+    """Run a report now: a few metric rows, kept as a small table."""
     return table.sparkSession.createDataFrame(table.collect(), table.schema)
 
 
-def _variants(data: Prepared, specs: dict[str, FeatureSpec], C: float) -> DataFrame:
-    out = []
-    for i, (name, spec) in enumerate(specs.items()):
+def _score_together(preds: list[DataFrame]) -> DataFrame:
+    """One scoring job for all runs: (model, split, metrics)."""
+    return met.score(union_all(preds), 0.5, ("model", "split"))
+
+
+def _variants(data: Prepared, specs: dict[str, FeatureSpec], C: float, workers: int = 2) -> DataFrame:
+    def run(name: str, spec: FeatureSpec):
         spec = replace(spec, max_terms=data.model.spec.max_terms, min_doc_freq=data.model.spec.min_doc_freq)
-        run = data if spec == data.model.spec else fit_prepared(
+        part = data if spec == data.model.spec else fit_prepared(
             data.records, spec, text=data.model.text, tabular=data.model.tabular)
-        scored, _ = evaluate(run.rows, name, C)
-        extra = run.model.block_widths()["interaction"]
-        out.append(scored.select(
-            F.lit(i).alias("variant_index"), F.col("model").alias("variant"), "split",
-            F.lit(run.model.width).alias("n_features"), F.lit(extra).alias("n_extra"), *met.METRICS))
-    return collected(out)
+        return part.model, fit_predict(part.rows, name, C)
+
+    runs = in_parallel([lambda n=n, s=s: run(n, s) for n, s in specs.items()], workers)
+    facts = local_rows(
+        data.records.sparkSession,
+        {"variant_index": list(range(len(runs))), "variant": list(specs),
+         "n_features": [m.width for m, _ in runs],
+         "n_extra": [m.block_widths()["interaction"] for m, _ in runs]},
+        "variant_index int, variant string, n_features int, n_extra int")
+    scored = _score_together([p for _, p in runs]).withColumnRenamed("model", "variant")
+    return collected(facts.join(scored, "variant").select(
+        "variant_index", "variant", "split", "n_features", "n_extra", *met.METRICS)
+        .orderBy("variant_index", "split"))
 
 
 def feature_groups(data: Prepared, C: float = 10.0) -> DataFrame:
@@ -84,31 +94,31 @@ def with_deltas(table: DataFrame, metric: str = "f1", tree_value: float | None =
     return out
 
 
-def modalities(data: Prepared, C: float = 1.0) -> DataFrame:
+def modalities(data: Prepared, C: float = 1.0, workers: int = 2) -> DataFrame:
     """Text alone, tabular alone, both."""
     tabular = fit_prepared(data.records, replace(data.model.spec, with_text=False),
                            tabular=data.model.tabular)
     runs = [(data.rows, "text only", "text_vec"), (tabular.rows, "tabular only", "features"),
             (data.rows, "fused", "features")]
-    return collected([evaluate(rows, name, C, features)[0] for rows, name, features in runs])
+    return collected(_score_together(in_parallel(
+        [lambda r=r, n=n, f=f: fit_predict(r, n, C, f) for r, n, f in runs], workers)))
+
+
+TUNED = "l2, C=1, tuned threshold"
+KNOBS = {
+    "l2, C=1": {"C": 1.0}, "l2, C=10": {"C": 10.0},
+    "l2, C=1, balanced": {"C": 1.0, "balanced": True},
+    "l1, C=1": {"C": 1.0, "penalty": "l1"},
+}
 
 
-def knobs(data: Prepared) -> DataFrame:
+def knobs(data: Prepared, workers: int = 2) -> DataFrame:
     """Strength, class weights, penalty and a validation-tuned threshold, in one table."""
-    runs = {
-        "l2, C=1": {"C": 1.0}, "l2, C=10": {"C": 10.0},
-        "l2, C=1, balanced": {"C": 1.0, "balanced": True},
-        "l1, C=1": {"C": 1.0, "penalty": "l1"},
-    }
-    tables = []
-    for name, kw in runs.items():
-        scored, preds = evaluate(data.rows, name, **kw)
-        tables.append(scored)
-        if name == "l2, C=1":
-            cut = met.tune_threshold(preds).first()["threshold"]
-            tables.append(met.score(preds.withColumn("model", F.lit("l2, C=1, tuned threshold")),
-                                    cut, ("model", "split")))
-    return collected(tables)
+    preds = in_parallel([lambda n=n, kw=kw: fit_predict(data.rows, n, **kw) for n, kw in KNOBS.items()], workers)
+    plain = preds[0]
+    cut = met.tune_threshold(plain).first()["threshold"]
+    tuned = met.score(plain.withColumn("model", F.lit(TUNED)), cut, ("model", "split"))
+    return collected(_score_together(preds).unionByName(tuned))
 
 
 def ranked(table: DataFrame, metric: str = "f1", n: int = 10, key: str = "model") -> DataFrame:

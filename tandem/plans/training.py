@@ -40,19 +40,22 @@ class Prepared:
 def prepare(campaigns: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Prepared:
     """Raw campaigns to staged feature rows.
 
-    Two tables are written: the split records, read by every fit, and the fused
-    rows, read by every model. Both are partitioned by split on disk, so a fit on
-    train never reads validation or test files.
+    Two tables are written: the modelling rows, read by every fit, and the fused
+    rows, read by every model. The fused rows are partitioned by split on disk, so
+    a model fit on train never reads validation or test files.
     """
     return fit_prepared(split_records(campaigns), spec)
 
 
 def split_records(campaigns: DataFrame) -> DataFrame:
-    """Titles are cleaned once, on the way into storage; the empty ones are dropped
-    on reading, where the test is on a stored column."""
+    """Stored modelling rows with their split.
+
+    Titles are cleaned once, on the way into storage; the empty ones are dropped on
+    reading, where the test is on a stored column. The split is a comparison per
+    row against fitted cutoffs, so it is not worth a second copy of the table.
+    """
     rows = add_engineered(add_clean_title(base_table(campaigns)))
-    table = drop_empty_titles(stage(rows, "modelling"))
-    return stage(split.three_way(table), "records", ("split",))
+    return split.three_way(drop_empty_titles(stage(rows, "modelling")))
 
 
 def fit_prepared(records: DataFrame, spec: FeatureSpec, **blocks) -> Prepared:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tandem.config import BROADCAST_ROWS
@@ -75,6 +77,25 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_parallel(thunks, workers: int = 2) -> list:
+    """Run independent jobs from driver threads, results in order.
+
+    Each fit caches its own training blocks, so the number at once stays small.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in thunks]]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small table that arrives in few pieces to all cores.
+
+    For scans in front of heavy per-row work. A large table has more pieces than
+    there are cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pinned(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Run a fitted table once and keep its rows, if there are at most ``limit``.
 

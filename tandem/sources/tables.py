@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tandem.config import LABELLED_STATES, POSITIVE_STATE
 from tandem.functions.numeric import unit_hash
+from tandem.session import spread
 
 CAMPAIGN_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -79,7 +80,7 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
     """Long multilingual texts with a skewed number and a partly missing label."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("target"))
     return (
-        table(spark, folder, "documents").join(labels, "doc_id", "left")
+        spread(table(spark, folder, "documents")).join(labels, "doc_id", "left")
         .select(
             F.col("doc_id").alias("id"),
             F.col("text").alias("name"),

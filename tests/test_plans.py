@@ -52,8 +52,7 @@ def test_term_counting_combines_before_the_shuffle(spark, folder):
 
 
 def test_sweep_is_one_pass(spark, folder):
-    preds = stage(t.scores(spark, folder), "scores")
-    plan = plan_of(met.threshold_sweep(preds, ("split",)))
+    plan = plan_of(met.threshold_sweep(base.scores(spark, folder), ("split",)))
     assert plan.count("FileScan") == 1 and "Window" not in plan
 
 
