@@ -19,10 +19,11 @@ from tandem.session import enable_checkpoints, in_parallel, local_rows
 
 
 def fit_logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", balanced: bool = False,
-                 features: str = "features", max_iter: int = 500, tol: float = 1e-7) -> Model:
+                 features: str = "features", max_iter: int = 500, tol: float = 1e-8) -> Model:
     """Regularised logistic regression; a larger ``C`` penalises less.
 
-    The loss here is a mean over rows, so the strength is 1 / (C * rows).
+    The loss here is a mean over rows, so the strength is 1 / (C * rows). ``train``
+    should be a stored table: it is read once and kept by the fit as it iterates.
     """
     if penalty not in ("l1", "l2"):
         raise ValueError(f"unknown penalty {penalty!r}")

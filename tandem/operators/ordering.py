@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tandem.session import stage
+
 MAX_SLICES = 4096
 
 
@@ -136,5 +138,22 @@ def quantile_values(df: DataFrame, column: str, probs, slices: int | None = None
     return [found[float(p)] for p in probs if float(p) in found]
 
 
+def numbered(df: DataFrame, group: str, order: str, name: str) -> DataFrame:
+    """Number the distinct ``order`` values of each group from 0, at any size.
+
+    The table is range-partitioned and written with its piece numbers, which are
+    then fixed; each piece is numbered on its own and shifted by the earlier ones.
+    """
+    pieces = stage(df.select(group, order).repartitionByRange(slice_count(df.sparkSession), group, order)
+                   .withColumn("slice", F.spark_partition_id()), "pieces")
+    earlier = (Window.partitionBy(group).orderBy("slice")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = pieces.groupBy(group, "slice").agg(F.count("*").alias("n")).select(
+        group, "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy(group, "slice").orderBy(order)) - 1
+    return pieces.withColumn("place", place).join(offsets, [group, "slice"]).select(
+        group, order, (F.col("place") + F.col("offset")).cast("int").alias(name))
+
+
 def union_all(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

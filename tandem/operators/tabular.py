@@ -15,10 +15,10 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tandem import config as cfg
-from tandem.operators.ordering import quantile_values
+from tandem.operators.ordering import numbered, quantile_values
 from tandem.operators.prepare import check_features
 from tandem.operators.profile import level_table
-from tandem.session import pinned
+from tandem.session import local_copy, pinned
 
 
 @dataclass
@@ -75,11 +75,14 @@ def fit_scaler(train: DataFrame, numeric) -> tuple[dict[str, tuple[float, float]
     return {c: (row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 1.0) for c in numeric}, row["_n"]
 
 
-def level_dictionary(train: DataFrame, categorical) -> DataFrame:
+def level_dictionary(train: DataFrame, categorical, limit: int = cfg.BROADCAST_ROWS) -> DataFrame:
     """(column, level, code): sorted levels of each column, numbered from 0."""
+    levels = level_table(train, categorical).select("column", "level")
+    small = local_copy(levels, limit)
+    if small is None:
+        return numbered(levels, "column", "level", "code")
     order = Window.partitionBy("column").orderBy("level")
-    return level_table(train, categorical).select(
-        "column", "level", (F.row_number().over(order) - 1).alias("code"))
+    return small.withColumn("code", F.row_number().over(order) - 1)
 
 
 def fit_levels(train: DataFrame, categorical, limit: int = cfg.BROADCAST_ROWS) -> dict[str, list[str]]:

@@ -96,18 +96,23 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def local_copy(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame | None:
+    """The rows of ``df`` as a local table of known size, or None beyond ``limit``."""
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
+        return None
+    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+
+
 def pinned(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Run a fitted table once and keep its rows, if there are at most ``limit``.
+    """Run a fitted table once and keep its rows.
 
-    The result is a local table of known size, which joins broadcast. A table
-    beyond the limit is written to the shared folder instead and joined by
-    shuffling; either way the rows are the same and are computed once.
+    Up to ``limit`` rows it becomes a local table, which joins broadcast. A larger
+    one is written to the shared folder and joined by shuffling. Either way the
+    rows are complete and later uses do not recompute them.
     """
-    spark = df.sparkSession
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return stage(df, "fitted")
-    return F.broadcast(spark.createDataFrame(rows, schema=df.schema))
+    small = local_copy(df, limit)
+    return stage(df, "fitted") if small is None else F.broadcast(small)
 
 
 def local_rows(spark: SparkSession, columns: dict, schema: str) -> DataFrame:

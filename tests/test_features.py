@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tandem import config as cfg
 from tandem.operators import fusion, svd, tabular as tab, textblock as tx
+from tandem.session import pinned
 
 DOCS = [(0, "apple pear apple"), (1, "pear plum"), (2, ""), (3, "plum plum fig x"), (4, "apple fig kiwi")]
 
@@ -85,6 +86,24 @@ def test_onehot_unseen_and_null_are_zero(levels_frame):
     assert codes[1, "narrow"] == codes[2, "wide"] == -1 and codes[2, "narrow"] == 1
 
 
+def test_dictionary_numbers_agree_beyond_the_small_limit(levels_frame):
+    train, _ = levels_frame
+    small, large = (sorted(map(tuple, tab.level_dictionary(train, ["wide", "narrow"], limit).collect()))
+                    for limit in (1000, 10))
+    assert small == large and len(small) == 161
+
+
+def test_joins_are_complete_beyond_the_small_limit(spark):
+    df = spark.range(500).selectExpr("id", "concat('lvl', id % 159) AS wide")
+    dictionary = pinned(tab.level_dictionary(df, ["wide"]), limit=10)
+    assert tab.long_onehot(df, dictionary, ["wide"]).count() == 500
+
+
+def test_vector_form_refuses_too_many_levels(levels_frame):
+    with pytest.raises(ValueError, match="long_onehot"):
+        tab.fit_levels(levels_frame[0], ["wide"], limit=10)
+
+
 def test_vector_and_long_form_agree(levels_frame):
     train, new = levels_frame
     block = tab.fit_tabular(train, ("x",), ("wide", "narrow"))
