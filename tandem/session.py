@@ -82,8 +82,9 @@ def in_parallel(thunks, workers: int = 2) -> list:
 
     Each fit caches its own training blocks, so the number at once stays small.
     """
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in thunks]]
+        return [f.result() for f in [pool.submit(inherit(t)) for t in thunks]]
 
 
 def spread(df: DataFrame) -> DataFrame:
