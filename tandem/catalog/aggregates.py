@@ -36,10 +36,13 @@ def agg_value_counts(spark, d):
 
 
 @query("agg_value_counts_null", sql(f"""
-    SELECT target, count(*) AS "count", {r('100.0::DOUBLE * count(*) / (SELECT count(*) FROM posts)')} AS pct
+    SELECT coalesce(target::VARCHAR, 'null') AS target, count(*) AS "count",
+           {r('100.0::DOUBLE * count(*) / (SELECT count(*) FROM posts)')} AS pct
     FROM posts GROUP BY target""", "posts"))
 def agg_value_counts_null(spark, d):
-    return profile.value_counts(t.posts(spark, d), "target").withColumn("pct", rnd("pct"))
+    counts = profile.value_counts(t.posts(spark, d), "target")
+    return counts.select(F.coalesce(F.col("target").cast("string"), F.lit("null")).alias("target"),
+                         "count", rnd("pct").alias("pct"))
 
 
 @query("agg_rate_by_cat", sql(f"""

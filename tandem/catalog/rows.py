@@ -204,12 +204,14 @@ def _messy_date():
 
 
 @query("dt_parse", """
-    SELECT o_orderkey AS id, try_cast(CASE WHEN o_orderpriority = '5-LOW' THEN o_orderpriority
-           ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP) AS launched FROM orders""")
+    SELECT o_orderkey AS id, coalesce(strftime(try_cast(CASE WHEN o_orderpriority = '5-LOW' THEN o_orderpriority
+           ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP), '%Y/%m/%d %H.%M.%S'), 'missing') AS launched
+    FROM orders""")
 def dt_parse(spark, d):
+    at = num.parse_time(_messy_date()).cast("timestamp_ntz")
     return t.table(spark, d, "orders").select(
         F.col("o_orderkey").alias("id"),
-        num.parse_time(_messy_date()).cast("timestamp_ntz").alias("launched"))
+        F.coalesce(F.date_format(at, "yyyy/MM/dd HH.mm.ss"), F.lit("missing")).alias("launched"))
 
 
 @query("dt_duration", sql(f"SELECT id, {r('duration_days')} AS duration_days FROM labelled", "labelled"))

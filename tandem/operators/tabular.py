@@ -6,6 +6,7 @@ expression, a row-wise ML stage or a dictionary join.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 from pyspark.ml import Transformer
@@ -72,7 +73,12 @@ def fit_scaler(train: DataFrame, numeric) -> tuple[dict[str, tuple[float, float]
     row = train.agg(F.count("*").alias("_n"),
                     *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in numeric],
                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in numeric]).first()
-    return {c: (row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 1.0) for c in numeric}, row["_n"]
+
+    def scale(c: str) -> float:
+        mean, std = row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 0.0
+        return std if std > 10 * sys.float_info.epsilon * abs(mean) else 1.0
+
+    return {c: (row[f"m_{c}"] or 0.0, scale(c)) for c in numeric}, row["_n"]
 
 
 def level_dictionary(train: DataFrame, categorical, limit: int = cfg.BROADCAST_ROWS) -> DataFrame:
