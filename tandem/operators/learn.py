@@ -68,7 +68,7 @@ class Sweep:
     models: dict[float, Model]
 
 
-def sweep_strength(rows: DataFrame, grid=cfg.C_GRID, splits=("val",), workers: int = 2) -> Sweep:
+def sweep_strength(rows: DataFrame, grid=cfg.C_GRID, splits=("val",), workers: int = cfg.PARALLEL_FITS) -> Sweep:
     """Fit each strength on train; choose by validation F1, the smallest C on ties.
 
     The driver keeps one model per grid value and collects one row per value. All

@@ -56,7 +56,7 @@ def _score_together(preds: list[DataFrame]) -> DataFrame:
     return met.score(union_all(preds), 0.5, ("model", "split"))
 
 
-def _variants(data: Prepared, specs: dict[str, FeatureSpec], C: float, workers: int = 2) -> DataFrame:
+def _variants(data: Prepared, specs: dict[str, FeatureSpec], C: float, workers: int = cfg.PARALLEL_FITS) -> DataFrame:
     def run(name: str, spec: FeatureSpec):
         spec = replace(spec, max_terms=data.model.spec.max_terms, min_doc_freq=data.model.spec.min_doc_freq)
         part = data if spec == data.model.spec else fit_prepared(
@@ -94,7 +94,7 @@ def with_deltas(table: DataFrame, metric: str = "f1", tree_value: float | None =
     return out
 
 
-def modalities(data: Prepared, C: float = 1.0, workers: int = 2) -> DataFrame:
+def modalities(data: Prepared, C: float = 1.0, workers: int = cfg.PARALLEL_FITS) -> DataFrame:
     """Text alone, tabular alone, both."""
     tabular = fit_prepared(data.records, replace(data.model.spec, with_text=False),
                            tabular=data.model.tabular)
@@ -112,7 +112,7 @@ KNOBS = {
 }
 
 
-def knobs(data: Prepared, workers: int = 2) -> DataFrame:
+def knobs(data: Prepared, workers: int = cfg.PARALLEL_FITS) -> DataFrame:
     """Strength, class weights, penalty and a validation-tuned threshold, in one table."""
     preds = in_parallel([lambda n=n, kw=kw: fit_predict(data.rows, n, **kw) for n, kw in KNOBS.items()], workers)
     plain = preds[0]

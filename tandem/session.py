@@ -77,7 +77,7 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
-def in_parallel(thunks, workers: int = 2) -> list:
+def in_parallel(thunks, workers: int) -> list:
     """Run independent jobs from driver threads, results in order.
 
     Each fit caches its own training blocks, so the number at once stays small.
