@@ -10,7 +10,6 @@ from tandem.catalog.base import query, r, rnd, sql
 from tandem.operators import fusion, learn, metrics as met, prepare
 from tandem.operators.textblock import explode_vector
 from tandem.operators.ordering import union_all
-from tandem.plans import training
 from tandem.session import stage, stage_path
 from tandem.sources import files, tables as t
 

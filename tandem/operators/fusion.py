@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import Interaction, OneHotEncoder, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Interaction, OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tandem import config as cfg

@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tandem import config as cfg
 from tandem.operators import learn, metrics as met, scorecard as sc
 from tandem.plans import ablation, export, training
 from tandem.sources import tables as t
@@ -124,4 +123,3 @@ def test_training_job_end_to_end(spark, folder, tmp_path):
     assert stored.count() == result.predictions.count()
     assert met.tune_threshold(stored.where(F.col("model") == training.LINEAR)).first()["threshold"] == \
         result.thresholds[training.LINEAR]
-    assert cfg.VALIDATION_PERCENT == 20
