@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tandem.llm import sharding, simhash
+from tandem.llm import decontaminate, idfiles, language, lines, ngram_score, packing, quality, sharding, simhash, winnow
 from tandem.llm.common import documents, text_of, unsigned_crc32
+from tandem.session import stage_path
 
 SHARDS = 8
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def held_out(parts: int) -> Column:
+    """Documents that nothing may be learnt from: a fixed part of the hashed ids."""
+    return F.coalesce(unsigned_crc32(F.col("doc_id").cast("string")) % parts == 2, F.lit(False))
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +29,77 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    found = language.identify(docs, ~held_out(4), carry=["doc_id"])
+    return found.select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document what is left of its text; the first of each group of near-equal lines stays."""
+    return lines.drop_near_lines(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written to files in the shared folder and read back from them."""
+    out = stage_path(spark, "token-ids")
+    idfiles.write_ids(documents(spark, sf_dir, "doc_id", "text"), out, TOKENIZER, end_id=2)
+    return idfiles.read_ids(spark, out)
+
+
+def op6_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    found = ngram_score.score(docs, ~held_out(7), carry=["doc_id"])
+    return found.select("doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     return simhash.near_copies(docs, carry=["doc_id"]).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op7_simhash)}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir, "doc_id", "text"), TOKENIZER, size=1024, end_id=0, carry=["doc_id"])
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.compare_next(documents(spark, sf_dir, "doc_id", "text"), carry=["doc_id"])
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_language, op3_line_dedup, op4_decontamination, op5_token_files, op6_ngram_score, op7_simhash, op8_packing, op9_winnowing, op10_quality)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLES: dict[str, str] = {
+    "op4_decontamination": f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS varchar) AS item, {_TERMS} AS w FROM benchmark),
+bs AS (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, array_to_string(list_slice(w, s, s + 9), ' ') AS k, len(list_slice(w, s, s + 9)) AS n FROM bs),
+sizes AS (SELECT DISTINCT n FROM bw),
+ds AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n),
+dw AS (SELECT doc_id, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS k FROM ds),
+hit AS (SELECT DISTINCT doc_id, s, n, item FROM dw JOIN bw USING (k, n)),
+spots AS (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, s, n FROM hit) x),
+covered AS (SELECT doc_id, count(*) AS n_hit FROM spots GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item FROM hit) y GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS bigint) AS n_words, CAST(coalesce(n_hit, 0) AS bigint) AS n_hit,
+       CAST(coalesce(n_items, 0) AS bigint) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id
+""",
+}

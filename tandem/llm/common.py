@@ -58,6 +58,16 @@ def unpacked(df: DataFrame, *outputs: str) -> DataFrame:
     return df.select(*[F.col("row").getField(c).alias(c) for c in kept], *[F.col(c) for c in outputs])
 
 
+def bound(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once.
+
+    A plain column may be pasted into every lambda that reads it and then computed for each element; behind a
+    generator it is a value.
+    """
+    once = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select("*", once.alias("once_")).select("*", *[F.col("once_").getField(n).alias(n) for n in columns]).drop("once_")
+
+
 def local_rows(spark: SparkSession, schema: pa.Schema, columns: list) -> DataFrame:
     """A table of driver-made columns."""
     return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema))

@@ -26,23 +26,26 @@ def _stars(links: DataFrame, larger: bool) -> DataFrame:
     low = near.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
     hung = near.join(low, "a")
     if larger:
-        return hung.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        return hung.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
     below = hung.where(F.col("b") != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
     return below.union(low.select("a", F.col("low").alias("b"))).distinct()
 
 
+def _is_done(links: DataFrame) -> bool:
+    """True if every node has one link to a smaller one, or only links from larger ones."""
+    ends = links.select(F.col("a").alias("id"), F.lit(1).alias("up")).union(links.select(F.col("b").alias("id"), F.lit(0).alias("up")))
+    each = ends.groupBy("id").agg(F.sum("up").alias("up"), F.min("up").alias("under"))
+    return each.where("up > 1 or (up > 0 and under = 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every node of links (a, b); the component is its smallest node.
 
     Each round is written to the shared folder, so lost executors cost one round at most. No links: no rows.
     """
     ordered = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now, seen = stage(ordered.distinct(), "links"), None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen or not mark[0]:
-            break
-        seen = mark
+    now = stage(ordered.distinct(), "links")
+    while not _is_done(now):
         now = stage(_stars(_stars(now, True), False), "links")
     leaves = now.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
@@ -57,24 +60,28 @@ def connect(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Dat
     straddles two of them is verified as well, so no link is lost, yet a bucket of copies never becomes all its
     pairs. Nodes without any link are not returned.
     """
-    members = stage(members.distinct(), "members")
-    heads = members.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "a")
-    first = members.join(heads, "bucket").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
-    links = stage(verify(first).select("a", "b"), "verified")
-    found = stage(components(links), "components")
-    labelled = members.join(heads.select("bucket"), "bucket", "left_semi").join(found, "id", "left")
-    labelled = labelled.select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    heads = stage(members.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "heads")
+    shared = stage(members.join(heads, "bucket"), "members")
+    first = shared.where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
+    found = stage(components(verify(first).select("a", "b")), "components")
+    labelled = shared.join(found, "id", "left").select("bucket", "id", "a", F.coalesce("component", "id").alias("component"))
     split = (
         labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low < high").select("bucket")
     )
-    open_ones = stage(labelled.join(split, "bucket", "left_semi"), "open")
-    parts = open_ones.select("bucket", "component").distinct()
+    parted = stage(labelled.join(split, "bucket", "left_semi"), "parted")
+    if parted.isEmpty():
+        return found
+    parts = parted.select("bucket", "component").distinct()
     straddling = (
         parts.join(parts.withColumnRenamed("component", "other"), "bucket").where(F.col("component") < F.col("other"))
-        .join(open_ones.withColumnRenamed("id", "a"), ["bucket", "component"])
-        .join(open_ones.select("bucket", F.col("component").alias("other"), F.col("id").alias("b")), ["bucket", "other"])
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        .join(parted.select("bucket", "component", F.col("id").alias("x"), F.col("a").alias("head")), ["bucket", "component"])
+        .join(parted.select("bucket", F.col("component").alias("other"), F.col("id").alias("y")), ["bucket", "other"])
+        # Pairs with a bucket's head were candidates before.
+        .where((F.col("x") != F.col("head")) & (F.col("y") != F.col("head")))
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
-    more = verify(straddling.join(first, ["a", "b"], "left_anti")).select("a", "b")
-    return components(links.union(more))
+    more = stage(verify(straddling).select("a", "b"), "verified")
+    if more.isEmpty():
+        return found
+    return components(found.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))

@@ -63,7 +63,8 @@ def block_keys(mark: Column, distance: int, blocks: int) -> Column:
 def near_copies(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 4, distance: int = 4, blocks: int = 7, carry: list[str] | None = None
 ) -> DataFrame:
-    """Input columns (those in ``carry``, if given), ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id reachable by links.
+    """Input columns (those in ``carry``, if given), ``fingerprint`` (16 hex digits), ``component_id``, the smallest id reachable by links,
+    and ``first``, true for one row of each component: one that has that id, if there is any.
 
     Documents are linked when their fingerprints differ in at most ``distance`` bits. Equal fingerprints are one
     node, so copies cost nothing; fingerprints that share a block key are verified bit by bit. More ``blocks`` make
@@ -77,16 +78,18 @@ def near_copies(
     # The generator keeps the lambda expressions out of the Python function's arguments, where Spark can't evaluate them.
     hashed = packed(docs, carry, id_=F.col(doc_id), all=F.array(shingle_hashes(text_of(text), size)))
     hashed = hashed.select("row", "id_", F.explode("all").alias("hashes"))
-    marked = stage(hashed.withColumn("mark", majority_bits("hashes")).drop("hashes"), "simhash")
-    marks = stage(marked.groupBy("mark").agg(F.min("id_").alias("low")), "marks")
+    # The number is fixed by the written table, so it tells repeated rows apart.
+    numbered = hashed.select("row", F.struct(F.col("id_").isNull().alias("none"), "id_", F.monotonically_increasing_id().alias("number")).alias("rank"), majority_bits("hashes").alias("mark"))
+    marked = stage(numbered, "simhash")
+    marks = stage(marked.groupBy("mark").agg(F.min("rank").alias("low")), "marks")
     members = marks.select(F.explode(block_keys(F.col("mark"), distance, blocks)).alias("bucket"), F.col("mark").alias("id"))
-    shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
-    members = members.join(shared, "bucket", "left_semi")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     found = connect(members, lambda pairs: pairs.where(near))
     labelled = marks.join(found, marks["mark"] == found["id"], "left").select("mark", "low", F.coalesce("component", "mark").alias("part"))
     labelled = stage(labelled, "labelled")
-    lowest = labelled.groupBy("part").agg(F.min("low").alias("component_id"))
-    final = labelled.join(lowest, "part").select("mark", "component_id")
-    out = marked.join(final, "mark").withColumn("fingerprint", F.lower(F.lpad(F.hex("mark"), 16, "0")))
-    return unpacked(out, "fingerprint", "component_id")
+    lowest = labelled.groupBy("part").agg(F.min("low").alias("low"))
+    final = labelled.drop("low").join(lowest, "part").select("mark", "low")
+    out = marked.join(final, "mark").select(
+        "row", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), F.col("low.id_").alias("component_id"), (F.col("rank") == F.col("low")).alias("first")
+    )
+    return unpacked(out, "fingerprint", "component_id", "first")

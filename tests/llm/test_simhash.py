@@ -76,8 +76,10 @@ def test_nulls_long_texts_repeats_and_no_rows(spark):
     rows = [(None, "one two three four five", 1), (4, "one two three four five", 2), (4, "one two three four five", 2), (5, None, 3), (6, " \n", 4), (7, long_text, 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
     out = simhash.near_copies(docs)
-    assert out.columns == ["doc_id", "text", "fingerprint", "component_id"]
+    assert out.columns == ["doc_id", "text", "fingerprint", "component_id", "first"]
     got = {(r["doc_id"], r["component_id"]) for r in out.collect()}
     assert got == {(None, 4), (4, 4), (5, 5), (6, 5), (7, 7)}
-    assert out.count() == 6
+    assert out.count() == 6 and sorted(r["doc_id"] for r in out.where("first").collect()) == [4, 5, 7]
+    without_id = simhash.near_copies(docs.where("doc_id is null").union(docs.where("doc_id is null")))
+    assert [r["component_id"] for r in without_id.where("first").collect()] == [None]
     assert simhash.near_copies(docs.limit(0)).collect() == []
