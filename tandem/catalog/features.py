@@ -12,7 +12,6 @@ from tandem.functions import text as txt
 from tandem.operators import fusion, learn, svd, tabular as tab, textblock as tx
 from tandem.operators.ordering import union_all
 from tandem.sources import tables as t
-from tandem.session import pinned
 
 # --- text -------------------------------------------------------------------
 
@@ -196,7 +195,7 @@ def fx_svd(spark, d):
     """Rows projected on the leading directions of the post text; fitted on all posts."""
     block = b.post_block(spark, d)
     rows = block.transform(b.post_tokens(spark, d))
-    basis = svd.fit_svd(rows, "text_vec", 20)
+    basis = svd.fit_svd(rows, "text_vec", cfg.SVD_RANK)
     out = svd.project(rows, "text_vec", basis).select("id", vector_to_array("text_svd").alias("v"))
     return out.select("id", F.posexplode("v").alias("component", "value"))
 
@@ -224,13 +223,13 @@ def fx_gram(spark, d):
 
 @query("fx_dense_pack", sql(f"""
     SELECT id, split, {r('log_goal')} AS log_goal, {r('duration_days')} AS duration_days,
-           coalesce(k.code, n)::DOUBLE AS country_code, (11 + least(10, w))::INTEGER AS width
+           coalesce(k.code, n)::DOUBLE AS country_code, (11 + least(120, w))::INTEGER AS width
     FROM rec LEFT JOIN (SELECT level AS country, code FROM levels WHERE "column" = 'country') k USING (country),
          (SELECT count(*) AS n FROM levels WHERE "column" = 'country'), (SELECT count(*) AS w FROM cvocab)""",
     "rec", "levels", "cvocab"))
 def fx_dense_pack(spark, d):
     data = b.prepared(spark, d)
-    pack = learn.fit_dense(data.train, data.model, 10)
+    pack = learn.fit_dense(data.train, data.model)
     v = vector_to_array("dense")
     at = pack.inputs.index
     return pack.transform(data.rows).select(
@@ -268,4 +267,4 @@ def fx_fit_scope(spark, d):
 
 @query("fx_level_dictionary", sql("SELECT \"column\", level, code FROM levels", "levels"))
 def fx_level_dictionary(spark, d):
-    return pinned(tab.level_dictionary(b.train_rows(spark, d), cfg.CATEGORICAL))
+    return tab.level_dictionary(b.train_rows(spark, d), cfg.CATEGORICAL)

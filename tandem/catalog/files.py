@@ -32,20 +32,19 @@ def src_interim(spark, d):
                        "launch_dow", "name_len", "name_words")
 
 
-@query("src_splits", sql("SELECT id, split FROM split3 WHERE split = 'val'", "split3"))
+@query("src_splits", sql("SELECT id, split FROM split3", "split3"))
 def src_splits(spark, d):
-    stored = stage(b.records(spark, d).select("id", "split"), "splits")
-    return stored.where(F.col("split") == "val")
+    return stage(b.records(spark, d).select("id", "split"), "splits", ("split",)).select("id", "split")
 
 
 @query("src_blocks", sql(f"""
-    SELECT id, count(*) AS cells, {r('sum(weight)')} AS total FROM cw JOIN rec USING (id)
-    WHERE split = 'val' GROUP BY id""", "cw", "rec"))
+    SELECT id, split, count(*) AS cells, {r('sum(weight)')} AS total FROM cw JOIN rec USING (id)
+    GROUP BY id, split""", "cw", "rec"))
 def src_blocks(spark, d):
     path = stage_path(spark, "text-block")
     files.write_blocks(b.prepared(spark, d).rows.select("id", "split", "target", "text_vec"), path)
-    cells = explode_vector(files.read_blocks(spark, path, "val"), "text_vec")
-    return cells.groupBy("id").agg(F.count("*").alias("cells"), rnd(F.sum("weight")).alias("total"))
+    cells = explode_vector(files.read_blocks(spark, path), "text_vec", ("id", "split"))
+    return cells.groupBy("id", "split").agg(F.count("*").alias("cells"), rnd(F.sum("weight")).alias("total"))
 
 
 _NAMES = met.METRICS
@@ -81,16 +80,16 @@ def snk_splits(spark, d):
 
 
 @query("snk_blocks", sql(f"""
-    SELECT feature, count(*) AS cells, {r('sum(value * value)', 4)} AS energy FROM cells
-    WHERE split = 'train' AND value <> 0 GROUP BY feature""", "cells"))
+    SELECT split, feature, count(*) AS cells, {r('sum(value * value)', 4)} AS energy FROM cells
+    WHERE value <> 0 GROUP BY split, feature""", "cells"))
 def snk_blocks(spark, d):
     """Fused blocks and their column dictionary, stored and matched up again."""
     data = b.prepared(spark, d)
     path = stage_path(spark, "blocks")
     files.write_blocks(data.rows.select("id", "split", "target", "features"), path)
     names = stage(data.model.feature_dict(spark), "feature-names")
-    cells = fusion.vector_cells(files.read_blocks(spark, path, "train"), names)
-    return cells.groupBy("feature").agg(F.count("*").alias("cells"),
+    cells = fusion.vector_cells(files.read_blocks(spark, path), names, ("id", "split"))
+    return cells.groupBy("split", "feature").agg(F.count("*").alias("cells"),
                                         rnd(F.sum(F.col("value") * F.col("value")), 4).alias("energy"))
 
 

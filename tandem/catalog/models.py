@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tandem import config as cfg
 from tandem.catalog import base as b
 from tandem.catalog.base import query, shared
 from tandem.operators import learn, metrics as met, svd
@@ -13,8 +16,6 @@ from tandem.plans import ablation, training
 from tandem.session import stage
 from tandem.sources import tables as t
 
-ROUNDS, RANK = 20, 20  # sizes for the registered runs; the job's defaults are larger
-
 
 @shared
 def linear(spark, d):
@@ -75,14 +76,15 @@ def ml_coef_table(spark, d):
 @shared
 def dense_rows(spark, d):
     data = b.prepared(spark, d)
-    pack = learn.fit_dense(data.train, data.model, RANK)
+    pack = learn.fit_dense(data.train, data.model)
     return stage(pack.transform(data.rows).select("id", "split", "target", "dense"), "dense", ("split",))
 
 
 @query("ml_gbt")
 def ml_gbt(spark, d):
     dense = dense_rows(spark, d)
-    model = learn.fit_boosting(dense.where(F.col("split") == "train"), ROUNDS)
+    most = max(len(v) for v in b.features(spark, d).tabular.levels.values())
+    model = learn.fit_boosting(dense.where(F.col("split") == "train"), max_levels=most)
     held = dense.where(F.col("split") != "train")
     return met.score(learn.predict(model, held, "boosting", "dense"), 0.5, ("split",))
 
@@ -109,8 +111,6 @@ def ml_knobs(spark, d):
 
 @query("ml_interaction_check")
 def ml_interaction_check(spark, d):
-    from dataclasses import replace
-    from tandem import config as cfg
     data = b.prepared(spark, d)
     spec = replace(data.model.spec, slopes=((cfg.CROSS_BASE, cfg.CROSS_WITH),))
     crossed = training.fit_prepared(data.records, spec, text=data.model.text, tabular=data.model.tabular)
@@ -119,14 +119,14 @@ def ml_interaction_check(spark, d):
 
 @query("ml_train_job")
 def ml_train_job(spark, d):
-    return training.run(t.campaigns(spark, d), rounds=ROUNDS, rank=RANK).comparison
+    return training.run(t.campaigns(spark, d)).comparison
 
 
 @query("fx_svd_values")
 def fx_svd_values(spark, d):
     """Singular values beside the energy their projections hold: they must agree."""
     data = b.prepared(spark, d)
-    basis = svd.fit_svd(data.train, "text_vec", RANK)
+    basis = svd.fit_svd(data.train, "text_vec", cfg.SVD_RANK)
     cells = svd.project(data.train, "text_vec", basis).select(
         F.posexplode(vector_to_array("text_svd")).alias("component", "value"))
     energy = cells.groupBy("component").agg(F.sum(F.col("value") * F.col("value")).alias("energy"))

@@ -10,7 +10,8 @@ from tandem.catalog.base import query, r, rnd, sql
 from tandem.functions import numeric as num, text as txt
 from tandem.operators import fusion, metrics as met, prepare, profile, split, tabular as tab
 from tandem.operators.ordering import union_all
-from tandem.sources import tables as t
+from tandem.session import stage_path
+from tandem.sources import files, tables as t
 
 # --- filters and projections ------------------------------------------------
 
@@ -298,7 +299,10 @@ def jn_fuse(spark, d):
     from pyspark.ml.feature import VectorAssembler
     tabular = VectorAssembler(inputCols=["num_vec", *[f"hot__{c}" for c in block.categorical]],
                               outputCol="tab_vec").transform(tabular).select("id", "tab_vec")
-    fused = fusion.fuse_blocks((text, "text_vec"), (tabular, "tab_vec"))
+    folder = stage_path(spark, "blocks")
+    name = "blocks_" + folder.rsplit("-", 1)[-1]
+    stored = [files.write_bucketed(df, f"{folder}/{kind}", f"{name}_{kind}", 8) for df, kind in ((text, "text"), (tabular, "tab"))]
+    fused = fusion.fuse_blocks((stored[0], "text_vec"), (stored[1], "tab_vec"))
     w = F.col("weight")
     return explode_vector(fused, "features").groupBy("id").agg(
         F.count("*").alias("cells"), rnd(F.sum(w * w)).alias("energy"))
@@ -309,10 +313,10 @@ def jn_fuse(spark, d):
     FROM ccnt c JOIN cvocab v USING (term)""", "ccnt", "cvocab"))
 def jn_vocab(spark, d):
     rec = b.title_tokens(b.records(spark, d))
-    counts = rec.select("id", F.explode("tokens").alias("term")).groupBy("id", "term").agg(
-        F.count("*").alias("tf"))
     terms = b.hashed_card(spark, d).term_table(spark).select("term", "idf", "coef")
-    return counts.join(F.broadcast(terms), "term").select(
+    known = rec.select("id", F.explode("tokens").alias("term")).join(terms, "term")
+    counts = known.groupBy("id", "term").agg(F.count("*").alias("tf"), F.first("idf").alias("idf"), F.first("coef").alias("coef"))
+    return counts.select(
         "id", "term", "tf", rnd("idf").alias("idf"), "coef")
 
 
@@ -323,7 +327,7 @@ def jn_vocab(spark, d):
 def jn_levels(spark, d):
     cells = tab.level_cells(b.records(spark, d), cfg.CATEGORICAL)
     coefs = b.hashed_card(spark, d).level_table(spark)
-    return cells.join(F.broadcast(coefs), ["column", "level"], "left").select(
+    return cells.join(coefs, ["column", "level"], "left").select(
         "id", "column", "level", F.coalesce("coef", F.lit(0.0)).alias("coef"))
 
 

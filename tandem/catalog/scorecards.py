@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tandem import config as cfg
 from tandem.catalog import base as b
 from tandem.catalog.base import hash_coef, query, r, rnd, sql
 from tandem.functions import numeric as num
 from tandem.catalog.models import linear
 from tandem.operators import learn, scorecard as sc
-from tandem.plans import export
+from tandem.operators.fusion import FeatureSpec, fit_features
+from tandem.plans import export, training
 from tandem.session import stage, stage_path
 from tandem.sources import tables as t
 from tandem.streaming import scoring
@@ -91,25 +93,43 @@ def sc_unknown_level(spark, d):
         F.count("*").alias("n"), rnd(F.max("shift")).alias("shift"))
 
 
+_STOPS = " ".join(cfg.STOP_WORDS[:5])
+_SHIFT = """CASE variant WHEN 4 THEN (0 - log_goal) / scale * wg
+     WHEN 5 THEN (ln(1000000000001.0::DOUBLE) - log_goal) / scale * wg WHEN 6 THEN -wc WHEN 7 THEN -wy ELSE -wm END"""
+
+
 @query("sc_edge_cases", sql(f"""
-    WITH e AS (SELECT id, usd_goal_real, unnest(['', 'the and of it', 'small small small ring', '3D-Printed  Ring!!! (v2)']) AS title,
+    WITH e AS (SELECT id, unnest(['', '{_STOPS}', concat(name, ' ', name, ' ', name), concat('#1 ', upper(name), '!! (v', id, ')')]) AS title,
                       unnest([0, 1, 2, 3]) AS variant FROM rec),
     tok AS (SELECT id, variant, unnest({b.term_list(b.cleaned('title'))}) AS term FROM e),
     cnt AS (SELECT id, variant, term, count(*) AS tf FROM tok GROUP BY ALL),
     w AS (SELECT id, variant, term, c.tf * round(idf, 6) AS w, {hash_coef("concat('text__', term)")} AS k
           FROM cnt c JOIN cvocab USING (term)),
     zt AS (SELECT id, variant, sum(w * k) / sqrt(sum(w * w)) AS zt FROM w GROUP BY ALL),
-    tab AS (SELECT id, sum(c) AS c FROM parts WHERE NOT starts_with(feature, 'text__') GROUP BY id)
+    tab AS (SELECT id, sum(c) AS c FROM parts WHERE NOT starts_with(feature, 'text__') GROUP BY id),
+    f AS (SELECT id, z, log_goal, scale, {hash_coef("'num__log_goal'")} AS wg, unnest([4, 5, 6, 7, 8]) AS variant,
+                 {hash_coef("concat('cat__country_', country)")} AS wc,
+                 {hash_coef("concat('cat__launch_year_', launch_year)")} AS wy,
+                 {hash_coef("concat('cat__category_', category)")} AS wm
+          FROM zs JOIN rec USING (id), (SELECT scale FROM stats WHERE "column" = 'log_goal'))
     SELECT id, variant::INTEGER AS variant,
            {r(hash_coef("'intercept'") + " + tab.c + coalesce(zt, 0)")} AS z
-    FROM e JOIN tab USING (id) LEFT JOIN zt USING (id, variant)""", "rec", "cvocab", "parts"))
+    FROM e JOIN tab USING (id) LEFT JOIN zt USING (id, variant)
+    UNION ALL SELECT id, variant::INTEGER, {r("z + " + _SHIFT)} FROM f""", "rec", "cvocab", "parts", "zs", "stats"))
 def sc_edge_cases(spark, d):
-    """Every record under an empty, an all-stop-word, a repeating and a noisy title."""
-    titles = ["", "the and of it", "small small small ring", "3D-Printed  Ring!!! (v2)"]
-    variants = F.array(*[F.struct(F.lit(i).alias("variant"), F.lit(x).alias("name"))
-                         for i, x in enumerate(titles)])
+    """Every record under an empty, an all-stop-word, a repeating and a noisy title, a goal of nothing and of a million
+    millions, an unseen country, an unseen year and no category."""
     rec = b.records(spark, d)
-    rest = [c for c in rec.columns if c != "name"]
+    name, kinds = F.col("name"), dict(rec.dtypes)
+    changes = [
+        {"name": F.lit("")}, {"name": F.lit(_STOPS)}, {"name": F.concat_ws(" ", name, name, name)},
+        {"name": F.concat(F.lit("#1 "), F.upper(name), F.lit("!! (v"), F.col("id").cast("string"), F.lit(")"))},
+        {"log_goal": F.lit(0.0)}, {"log_goal": F.log(F.lit(1000000000001.0))},
+        {"country": F.lit("Atlantis")}, {"launch_year": F.lit("2999")}, {"category": F.lit(None)},
+    ]
+    fields = sorted({f for c in changes for f in c})
+    variants = F.array(*[F.struct(F.lit(i).alias("variant"), *[c.get(f, F.col(f)).cast(kinds[f]).alias(f) for f in fields]) for i, c in enumerate(changes)])
+    rest = [c for c in rec.columns if c not in fields]
     rows = rec.select(*rest, F.explode(variants).alias("v")).select(*rest, "v.*")
     return sc.score_records(b.hashed_card(spark, d), rows).select("id", "variant", rnd("z").alias("z"))
 
@@ -118,10 +138,12 @@ def sc_edge_cases(spark, d):
     SELECT (SELECT count(*) FROM cvocab) + (SELECT count(*) FROM stats) + (SELECT count(*) FROM levels) AS "rows",
            0::BIGINT AS stale""", "cvocab", "stats", "levels"))
 def sc_current(spark, d):
-    """A stored scorecard against one rebuilt from the data."""
-    card = b.hashed_card(spark, d)
-    stored = stage(card.table(spark), "card")
-    wrong = sc.stale_rows(stored, card.table(spark)).agg(F.count("*"))
+    """A stored scorecard against one whose vocabulary, scaling and levels are fitted anew on the tables."""
+    stored = stage(b.hashed_card(spark, d).table(spark), "card")
+    records = training.split_records(t.campaigns(spark, d))
+    model = fit_features(records.where(F.col("split") == "train"), FeatureSpec())
+    fresh = sc.build(model, [b.hashed_coef(n) for n in model.names], b.hashed_coef("intercept"))
+    wrong = sc.stale_rows(stored, fresh.table(spark)).agg(F.count("*"))
     return stored.agg(F.count("*").alias("rows")).withColumn("stale", wrong.scalar())
 
 

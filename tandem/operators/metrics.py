@@ -24,11 +24,24 @@ def _rates(tp: Column, fp: Column, tn: Column, fn: Column) -> dict[str, Column]:
     }
 
 
+def scored(preds: DataFrame) -> DataFrame:
+    """The rows that metrics count: a null label, and a null or NaN score, belong to neither side of any table.
+
+    ``unscored`` counts the others."""
+    return preds.where(F.col("label").isNotNull() & F.col("proba").isNotNull() & ~F.isnan("proba"))
+
+
+def unscored(preds: DataFrame, groups=()) -> DataFrame:
+    """Rows per group that no metric counts."""
+    kept = F.col("label").isNotNull() & F.col("proba").isNotNull() & ~F.isnan("proba")
+    return preds.groupBy(*groups).agg(F.count_if(~F.coalesce(kept, F.lit(False))).alias("unscored"))
+
+
 def confusion(preds: DataFrame, threshold: float | Column = 0.5, groups=()) -> DataFrame:
     """tp, fp, tn, fn at ``proba >= threshold``, in one aggregate."""
     yes = F.col("proba") >= (threshold if isinstance(threshold, Column) else F.lit(float(threshold)))
     pos = F.col("label") == 1
-    return preds.groupBy(*groups).agg(
+    return scored(preds).groupBy(*groups).agg(
         F.count_if(yes & pos).alias("tp"), F.count_if(yes & ~pos).alias("fp"),
         F.count_if(~yes & ~pos).alias("tn"), F.count_if(~yes & pos).alias("fn"))
 
@@ -38,7 +51,7 @@ def score_totals(preds: DataFrame, groups=()) -> DataFrame:
     positives and negatives at that score or above."""
     hit = F.col("label") == 1
     rows = running_totals(
-        preds, "proba", {"pos": F.when(hit, 1).otherwise(0), "neg": F.when(hit, 0).otherwise(1)},
+        scored(preds), "proba", {"pos": F.when(hit, 1).otherwise(0), "neg": F.when(hit, 0).otherwise(1)},
         tuple(groups), descending=True)
     return rows.select(*groups, "proba", "pos", "neg", (F.col("pos_before") + F.col("pos")).alias("tp"),
                        (F.col("neg_before") + F.col("neg")).alias("fp"))
@@ -101,7 +114,7 @@ def threshold_sweep(preds: DataFrame, groups=(), first: int = cfg.THRESHOLD_FIRS
     step = (F.when(p >= (guess + 1).cast("double") / 100.0, 1)
             .when(p < guess.cast("double") / 100.0, -1).otherwise(0))
     k = F.greatest(F.least(guess + step, F.lit(last)), F.lit(first - 1))
-    counts = preds.groupBy(*groups, k.alias("k")).agg(
+    counts = scored(preds).groupBy(*groups, k.alias("k")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
     cells = counts.groupBy(*groups).agg(
         F.collect_list(F.struct("k", "pos", "neg")).alias("cells"),

@@ -15,18 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tandem.session import stage
 
-MAX_SLICES = 4096
-
 
 def slice_count(spark: SparkSession) -> int:
     """Slices follow the session's shuffle parallelism."""
-    return max(8, min(MAX_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def slice_bounds(df: DataFrame, columns, slices: int) -> dict[str, list[float]]:
     """Approximate quantiles per column: one pass, at most ``slices`` numbers each."""
     probs = [i / slices for i in range(1, slices)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * slices).alias(c)
+    # NaN is no number to cut at.
+    row = df.agg(*[F.percentile_approx(F.nanvl(F.col(c).cast("double"), F.lit(None)), probs, 10 * slices).alias(c)
                    for c in columns]).first()
     return {c: sorted(set(row[c] or [])) for c in columns}
 
@@ -86,7 +85,7 @@ def exact_quantiles(df: DataFrame, columns, probs, slices: int | None = None) ->
     """Exact linear-interpolation quantiles: rows of ``(column, prob, value)``.
 
     Pass 1 cuts the range, pass 2 counts rows per slice, pass 3 counts distinct
-    values in just the slices that hold a wanted rank. Nulls are skipped.
+    values in just the slices that hold a wanted rank. Nulls and NaN are skipped.
     """
     columns, probs = list(columns), [float(p) for p in probs]
     slices = slices or slice_count(df.sparkSession)
@@ -96,7 +95,7 @@ def exact_quantiles(df: DataFrame, columns, probs, slices: int | None = None) ->
                  F.col(c).cast("double").alias("value")) for c in columns])
     cells = (with_slices(df.select(*columns), bounds)
              .select(F.explode(cells).alias("cell")).select("cell.*")
-             .where(F.col("value").isNotNull()))
+             .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
     # columns x slices rows, then columns x probs x 2 rows
     per_slice = cells.groupBy("column", "slice").agg(F.count("*").alias("n"))

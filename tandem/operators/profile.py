@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tandem.config import BROADCAST_ROWS
 from tandem.functions import text as txt
 from tandem.operators.ordering import exact_quantiles
-from tandem.session import pinned
 
 
 def to_rows(one_row: DataFrame, names, key: str, value: str) -> DataFrame:
@@ -151,15 +149,9 @@ def level_pairs(df: DataFrame, parent: str, child: str) -> DataFrame:
     return df.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct()
 
 
-def level_tree(df: DataFrame, parent: str, child: str, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Children of each parent in name order, for taxonomies of at most ``limit`` pairs.
-
-    A larger one stays in rows: see ``level_pairs``.
-    """
-    pairs = pinned(level_pairs(df, parent, child), limit)
-    if pairs.select(F.lit(1)).limit(limit + 1).count() > limit:
-        raise ValueError(f"over {limit} pairs: use level_pairs")
-    return pairs.groupBy("parent").agg(F.sort_array(F.collect_list("child")).alias("children"))
+def level_tree(df: DataFrame, parent: str, child: str) -> DataFrame:
+    """Children of each parent in name order, one row per parent; ``level_pairs`` has them as rows."""
+    return level_pairs(df, parent, child).groupBy("parent").agg(F.sort_array(F.collect_list("child")).alias("children"))
 
 
 def modal_child(df: DataFrame, parent: str, child: str) -> DataFrame:

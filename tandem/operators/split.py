@@ -15,7 +15,12 @@ from tandem.config import SEED, TEST_PERCENT, VALIDATION_PERCENT
 from tandem.functions.numeric import unit_hash
 from tandem.session import pinned
 
-PREFIX_DIGITS = 4  # 65,536 hash prefixes
+PER_PREFIX = 65_536  # rows of a hash prefix, about; only one prefix of a stratum is ranked
+
+
+def prefix_digits(rows: int) -> int:
+    """Hex digits that cut ``rows`` rows into prefixes of about PER_PREFIX; no fewer than four."""
+    return max(4, -(-max(rows // PER_PREFIX, 1).bit_length() // 4))
 
 
 def _digest(key: str, tag: str) -> Column:
@@ -23,8 +28,9 @@ def _digest(key: str, tag: str) -> Column:
 
 
 def cutoffs(df: DataFrame, percent: int, tag: str, key: str = "id",
-            stratum: str = "target", digits: int = PREFIX_DIGITS) -> DataFrame:
+            stratum: str = "target", digits: int | None = None) -> DataFrame:
     """One row per stratum: hash and key of its last held-out row."""
+    digits = digits or prefix_digits(df.count())
     hashed = df.select(stratum, key, _digest(key, tag).alias("digest")).withColumn(
         "prefix", F.substring("digest", 1, digits))
     counts = hashed.groupBy(stratum, "prefix").agg(F.count("*").alias("n"))

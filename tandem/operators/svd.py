@@ -7,6 +7,7 @@ symmetric matrix is decomposed on the driver. Rows never leave the executors.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,8 +18,7 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
-from tandem.operators.textblock import TextBlock
-from tandem.session import local_rows
+from tandem.operators.textblock import TextBlock, vector_array
 
 
 @dataclass
@@ -45,22 +45,24 @@ def gramian(df: DataFrame, vector: str) -> np.ndarray:
 
 
 def gramian_table(df: DataFrame, vector: str, block: TextBlock) -> DataFrame:
-    """(term_a, term_b, dot) for term_a <= term_b with a non-zero product.
-
-    At most max_terms * (max_terms + 1) / 2 rows, whatever the row count.
-    """
-    g = gramian(df, vector)
-    i, j = np.nonzero(np.triu(g))
-    terms = np.array(block.terms, dtype=object)
-    return local_rows(df.sparkSession,
-                      {"term_a": terms[i].tolist(), "term_b": terms[j].tolist(), "dot": g[i, j].tolist()},
-                      "term_a string, term_b string, dot double")
+    """(term_a, term_b, dot) for term_a <= term_b with a non-zero product, summed from the rows' own pairs."""
+    rows = df.select(F.explode(F.array(vector_array(vector))).alias("cells"))
+    later = lambda k: F.slice("cells", k + 1, F.size("cells"))
+    pairs = F.flatten(F.transform("cells", lambda a, k: F.transform(later(k), lambda c: F.struct(
+        a["idx"].alias("i"), c["idx"].alias("j"), (a["weight"] * c["weight"]).alias("dot")))))
+    sums = (rows.select(F.explode(pairs).alias("p")).select("p.*").groupBy("i", "j")
+            .agg(F.sum("dot").alias("dot")).where("dot <> 0"))
+    terms = block.table.select("idx", "term")
+    return (sums.join(terms.toDF("i", "term_a"), "i").join(terms.toDF("j", "term_b"), "j")
+            .select("term_a", "term_b", "dot"))
 
 
 def fit_svd(df: DataFrame, vector: str, rank: int) -> Basis:
     """Leading right singular vectors; each one's largest entry is positive."""
     values, vectors = np.linalg.eigh(gramian(df, vector))
-    rank = min(rank, len(values))
+    if rank > len(values):
+        warnings.warn(f"rank {rank} asked of {len(values)} columns: the basis has {len(values)}", stacklevel=2)
+        rank = len(values)
     order = np.argsort(values)[::-1][:rank]
     v = vectors[:, order]
     lead = v[np.argmax(np.abs(v), axis=0), np.arange(rank)]
@@ -75,17 +77,11 @@ def project(df: DataFrame, vector: str, basis: Basis, out: str = "text_svd") ->
     def dot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         v = shared.value
         for cells in batches:
-            n = len(cells)
-            packed = np.zeros((n, v.shape[1]))
-            lengths = cells["values"].map(len).to_numpy()
-            filled = lengths > 0
-            if filled.any():
-                idx = np.concatenate([
-                    np.arange(len(x)) if i is None else np.asarray(i)
-                    for i, x in zip(cells["indices"], cells["values"]) if len(x)]).astype(np.int64)
-                weight = np.concatenate([np.asarray(x) for x in cells["values"] if len(x)])
-                starts = np.concatenate([[0], np.cumsum(lengths[filled])[:-1]])
-                packed[filled] = np.add.reduceat(v[idx] * weight[:, None], starts, axis=0)
+            packed = np.zeros((len(cells), v.shape[1]))
+            for row, (index, weight) in enumerate(zip(cells["indices"], cells["values"])):
+                if len(weight):
+                    weight = np.asarray(weight)
+                    packed[row] = weight @ (v[: len(weight)] if index is None else v[np.asarray(index)])
             yield pd.Series(list(packed))
 
     return df.withColumn(out, array_to_vector(dot(F.unwrap_udt(vector))))

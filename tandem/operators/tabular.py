@@ -19,7 +19,7 @@ from tandem import config as cfg
 from tandem.operators.ordering import numbered, quantile_values
 from tandem.operators.prepare import check_features
 from tandem.operators.profile import level_table
-from tandem.session import local_copy, pinned
+from tandem.session import pinned
 
 
 @dataclass
@@ -81,25 +81,19 @@ def fit_scaler(train: DataFrame, numeric) -> tuple[dict[str, tuple[float, float]
     return {c: (row[f"m_{c}"] or 0.0, scale(c)) for c in numeric}, row["_n"]
 
 
-def level_dictionary(train: DataFrame, categorical, limit: int = cfg.BROADCAST_ROWS) -> DataFrame:
-    """(column, level, code): sorted levels of each column, numbered from 0."""
-    levels = level_table(train, categorical).select("column", "level")
-    small = local_copy(levels, limit)
-    if small is None:
-        return numbered(levels, "column", "level", "code")
-    order = Window.partitionBy("column").orderBy("level")
-    return small.withColumn("code", F.row_number().over(order) - 1)
+def level_dictionary(train: DataFrame, categorical) -> DataFrame:
+    """(column, level, code): sorted levels of each column, numbered from 0; written once, joined by its users."""
+    levels = pinned(level_table(train, categorical).select("column", "level"))
+    return pinned(numbered(levels, "column", "level", "code"))
 
 
-def fit_levels(train: DataFrame, categorical, limit: int = cfg.BROADCAST_ROWS) -> dict[str, list[str]]:
+def fit_levels(train: DataFrame, categorical) -> dict[str, list[str]]:
     """Sorted levels per column for the vector form.
 
-    Vector columns need their width on the driver. Columns with more levels than
-    ``limit`` belong in the long form, which joins the dictionary instead.
+    A model's names and coefficients are on the driver, one per level, whatever their number; the long form
+    (``level_dictionary``) keeps them in tables.
     """
-    rows = level_table(train, categorical).select("column", "level").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"over {limit} levels: encode with level_dictionary and long_onehot")
+    rows = level_table(train, categorical).select("column", "level").collect()
     return {c: sorted((r["level"] for r in rows if r["column"] == c),
                       key=lambda s: s.encode("utf-8")) for c in categorical}
 
@@ -128,7 +122,7 @@ def level_cells(df: DataFrame, categorical, keep=("id",)) -> DataFrame:
 def long_onehot(df: DataFrame, dictionary: DataFrame, categorical, keep=("id",)) -> DataFrame:
     """(keep..., feature, value=1) for known levels; unknown ones give no row."""
     return level_cells(df, categorical, keep).join(
-        pinned(dictionary), ["column", "level"]).select(
+        dictionary, ["column", "level"]).select(
         *keep, F.concat(F.lit("cat__"), "column", F.lit("_"), "level").alias("feature"),
         F.lit(1.0).alias("value"))
 
@@ -136,7 +130,7 @@ def long_onehot(df: DataFrame, dictionary: DataFrame, categorical, keep=("id",))
 def ordinal_codes(df: DataFrame, dictionary: DataFrame, categorical, keep=("id",)) -> DataFrame:
     """(keep..., column, code), unseen levels and nulls being -1."""
     return level_cells(df, categorical, keep).join(
-        pinned(dictionary), ["column", "level"], "left").select(
+        dictionary, ["column", "level"], "left").select(
         *keep, "column", F.coalesce("code", F.lit(-1)).alias("code"))
 
 
@@ -147,7 +141,7 @@ def long_interaction(df: DataFrame, base: str, with_column: str, dictionary: Dat
     value = F.col(base).cast("double")
     name = F.concat(F.lit(f"inter__{base}_x_{with_column}_"), F.col("level"))
     return (df.where(value != 0)
-            .join(pinned(levels), F.col(with_column).cast("string") == F.col("level"))
+            .join(levels, F.col(with_column).cast("string") == F.col("level"))
             .select(*keep, name.alias("feature"), value.alias("value")))
 
 
@@ -164,12 +158,14 @@ def quantile_edges(train: DataFrame, column: str, bins: int) -> list[float]:
 
 
 def bin_stage(column: str, edges: list[float], out: str) -> Bucketizer:
-    """[a, b) bins; values outside the fitted range go to the outer bins."""
+    """[a, b) bins; values outside the fitted range go to the outer bins. Edges that all merged leave one bin."""
     return Bucketizer(splits=[float("-inf"), *edges[1:-1], float("inf")],
                       inputCol=column, outputCol=out)
 
 
 def bin_index(df: DataFrame, column: str, edges: list[float], out: str = "bin") -> DataFrame:
+    if len(edges) <= 2:
+        return df.withColumn(out, F.when(F.col(column).isNotNull(), 0).cast("int"))
     binned = bin_stage("_x", edges, "_bin").transform(df.withColumn("_x", F.col(column).cast("double")))
     return binned.withColumn(out, F.col("_bin").cast("int")).drop("_x", "_bin")
 
@@ -178,9 +174,9 @@ def bin_cells(df: DataFrame, column: str, edges: list[float], with_column: str,
               dictionary: DataFrame, keep=("id",)) -> DataFrame:
     """Cell number ``code * n_bins + bin`` as long; unknown levels give no row."""
     codes = dictionary.where(F.col("column") == with_column).select("level", "code")
-    n_bins = len(edges) - 1
+    n_bins = max(1, len(edges) - 1)
     return (bin_index(df, column, edges)
-            .join(pinned(codes), F.col(with_column).cast("string") == F.col("level"))
+            .join(codes, F.col(with_column).cast("string") == F.col("level"))
             .select(*keep, (F.col("code").cast("long") * n_bins + F.col("bin")).alias("cell")))
 
 

@@ -88,13 +88,17 @@ class TextBlock:
         return cells.join(names, "idx").select(*keep, "term", "weight")
 
 
-def explode_vector(df: DataFrame, vector: str, keep: tuple[str, ...] = ("id",)) -> DataFrame:
-    """(keep..., idx, weight) of a sparse vector column's non-zeros."""
+def vector_array(vector: str) -> Column:
+    """A vector's (idx, weight) cells, whether it is stored sparse or dense."""
     v = F.unwrap_udt(vector)
     sparse = F.arrays_zip(v["indices"].alias("idx"), v["values"].alias("weight"))
     dense = F.transform(v["values"], lambda x, i: F.struct(i.alias("idx"), x.alias("weight")))
-    cells = F.when(v["type"] == 0, sparse).otherwise(dense)
-    return (df.select(*keep, F.explode(cells).alias("c")).select(*keep, "c.idx", "c.weight")
+    return F.when(v["type"] == 0, sparse).otherwise(dense)
+
+
+def explode_vector(df: DataFrame, vector: str, keep: tuple[str, ...] = ("id",)) -> DataFrame:
+    """(keep..., idx, weight) of a sparse vector column's non-zeros."""
+    return (df.select(*keep, F.explode(vector_array(vector)).alias("c")).select(*keep, "c.idx", "c.weight")
             .where(F.col("weight") != 0))
 
 
@@ -117,7 +121,7 @@ def block_from_counts(spark: SparkSession, picked: DataFrame, n_docs: int,
     order = Window.partitionBy(F.lit(0)).orderBy("term")
     table = pinned(picked.withColumns({
         "idx": F.row_number().over(order) - 1,
-        "idf": smooth_idf(F.lit(float(n_docs)), F.col("doc_freq"))}), limit=max_terms)
+        "idf": smooth_idf(F.lit(float(n_docs)), F.col("doc_freq"))}))
     rows = table.orderBy("idx").collect()
     return TextBlock([r["term"] for r in rows], [r["tf"] for r in rows],
                      [r["doc_freq"] for r in rows], [r["idf"] for r in rows], n_docs, table)

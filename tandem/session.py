@@ -1,4 +1,4 @@
-"""Session helpers: building one, staging tables, and size-checked small tables."""
+"""Session helpers: building one, staging tables, and small driver-made tables."""
 
 from __future__ import annotations
 
@@ -11,8 +11,6 @@ import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tandem.config import BROADCAST_ROWS
-
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -87,33 +85,12 @@ def in_parallel(thunks, workers: int) -> list:
         return [f.result() for f in [pool.submit(inherit(t)) for t in thunks]]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small table that arrives in few pieces to all cores.
-
-    For scans in front of heavy per-row work. A large table has more pieces than
-    there are cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def local_copy(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame | None:
-    """The rows of ``df`` as a local table of known size, or None beyond ``limit``."""
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return None
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
-
-
-def pinned(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Run a fitted table once and keep its rows.
+def pinned(df: DataFrame) -> DataFrame:
+    """Run a fitted table once and keep its rows for later uses.
 
-    Up to ``limit`` rows it becomes a local table, which joins broadcast. A larger
-    one is written to the shared folder and joined by shuffling. Either way the
-    rows are complete and later uses do not recompute them.
+    The planner knows the size of the written files and picks the join from it, whatever the number of rows.
     """
-    small = local_copy(df, limit)
-    return stage(df, "fitted") if small is None else F.broadcast(small)
+    return stage(df, "fitted")
 
 
 def local_rows(spark: SparkSession, columns: dict, schema: str) -> DataFrame:

@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tandem.sources.tables import CAMPAIGN_SCHEMA
 
 # Quotes are doubled, line breaks kept, and white space at a value's ends is data.
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true",
+CSV_OPTIONS = {"header": "true", "escape": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_campaign_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Campaign CSV with a declared schema; quoted titles may hold commas or breaks."""
-    return spark.read.options(**CSV_OPTIONS).schema(CAMPAIGN_SCHEMA).csv(path)
+def read_campaign_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Campaign CSV with a declared schema; quoted titles may hold commas.
+
+    Line breaks inside quotes need ``multi_line``, and then each file is read by one task: convert such files once.
+    """
+    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(CAMPAIGN_SCHEMA).csv(path)
 
 
 def write_campaign_csv(df: DataFrame, path: str) -> None:
@@ -40,6 +43,12 @@ def read_blocks(spark: SparkSession, path: str, split: str | None = None) -> Dat
     return blocks if split is None else blocks.where(F.col("split") == split)
 
 
+def write_bucketed(df: DataFrame, path: str, name: str, buckets: int, key: str = "id") -> DataFrame:
+    """A table under ``path`` whose files are split and sorted by ``key``: two such tables join without a shuffle."""
+    df.write.option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_document(df: DataFrame, path: str) -> None:
     """A one-row table as a JSON document."""
     df.coalesce(1).write.json(path)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tandem import config as cfg
 from tandem.operators import fusion, svd, tabular as tab, textblock as tx
-from tandem.session import pinned
 
 DOCS = [(0, "apple pear apple"), (1, "pear plum"), (2, ""), (3, "plum plum fig x"), (4, "apple fig kiwi")]
 
@@ -86,22 +85,31 @@ def test_onehot_unseen_and_null_are_zero(levels_frame):
     assert codes[1, "narrow"] == codes[2, "wide"] == -1 and codes[2, "narrow"] == 1
 
 
-def test_dictionary_numbers_agree_beyond_the_small_limit(levels_frame):
+def test_dictionary_numbers_follow_the_order_of_levels(levels_frame):
     train, _ = levels_frame
-    small, large = (sorted(map(tuple, tab.level_dictionary(train, ["wide", "narrow"], limit).collect()))
-                    for limit in (1000, 10))
-    assert small == large and len(small) == 161
-
-
-def test_joins_are_complete_beyond_the_small_limit(spark):
-    df = spark.range(500).selectExpr("id", "concat('lvl', id % 159) AS wide")
-    dictionary = pinned(tab.level_dictionary(df, ["wide"]), limit=10)
-    assert tab.long_onehot(df, dictionary, ["wide"]).count() == 500
-
-
-def test_vector_form_refuses_too_many_levels(levels_frame):
-    with pytest.raises(ValueError, match="long_onehot"):
-        tab.fit_levels(levels_frame[0], ["wide"], limit=10)
+    rows = tab.level_dictionary(train, ["wide", "narrow"]).collect()
+    for column in ("wide", "narrow"):
+        own = sorted((r["level"], r["code"]) for r in rows if r["column"] == column)
+        assert [code for _, code in own] == list(range(len(own)))
+    assert len(rows) == 161
+
+
+def test_any_number_of_levels_is_encoded(spark):
+    df = spark.range(210_000).selectExpr("id", "concat('lvl', id) AS wide", "cast(id % 7 AS double) AS x")
+    dictionary = tab.level_dictionary(df, ["wide"])
+    codes = tab.ordinal_codes(df, dictionary, ["wide"])
+    assert codes.agg({"code": "min"}).first()[0] == 0 and codes.select("code").distinct().count() == 210_000
+    assert tab.long_onehot(df, dictionary, ["wide"]).count() == 210_000
+    assert len(tab.fit_levels(df, ["wide"])["wide"]) == 210_000
+
+
+@pytest.mark.parametrize("values", [[3.0] * 5, [1.0, 2.0] * 4, [0.0] * 9 + [1.0]])
+def test_merged_quantile_edges_keep_a_bin(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(99, None), (98, float("nan"))], "id int, x double")
+    edges = tab.quantile_edges(df.where("id < 90"), "x", 10)
+    bins = {r["id"]: r["bin"] for r in tab.bin_index(df.where("id <> 98"), "x", edges).collect()}
+    assert set(bins[i] for i in range(len(values))) <= set(range(max(1, len(edges) - 1))) and bins[99] is None
+    assert tab.quantile_edges(df, "x", 10)[0] == min(values)
 
 
 def test_vector_and_long_form_agree(levels_frame):

@@ -3,7 +3,7 @@ import pytest
 
 from tandem.operators import metrics as met, profile
 
-PERFECT = [(0, 0.05), (0, 0.1), (1, 0.9), (1, 0.95)]
+PERFECT = [(0, 0.02), (1, 0.85), (0, 0.3), (1, 0.6), (0, 0.11), (1, 0.97)]
 
 
 def frame(spark, rows, split="val"):
@@ -127,3 +127,14 @@ def test_gates(spark):
     rows = {r["gate"]: r["ok"] for r in met.gates(
         facts, [("a", "accuracy", ">", "floor"), ("b", "accuracy", "<", 0.5)]).collect()}
     assert rows == {"a": True, "b": False}
+
+
+def test_rows_without_score_or_label_count_nowhere(spark):
+    rows = [(1, 1, 0.9, "val"), (2, 0, 0.2, "val"), (3, 1, None, "val"), (4, None, 0.8, "val"), (5, 0, float("nan"), "val"), (6, None, None, "val")]
+    df = spark.createDataFrame(rows, "id int, label int, proba double, split string")
+    clean = df.where("id <= 2")
+    assert met.confusion(df).first() == met.confusion(clean).first()
+    assert met.score(df).first() == met.score(clean).first()
+    assert met.threshold_sweep(df).collect() == met.threshold_sweep(clean).collect()
+    assert met.tune_threshold(df).first() == met.tune_threshold(clean).first()
+    assert met.unscored(df).first()[0] == 4
