@@ -88,7 +88,7 @@ def snk_blocks(spark, d):
     path = stage_path(spark, "blocks")
     files.write_blocks(data.rows.select("id", "split", "target", "features"), path)
     names = stage(data.model.feature_dict(spark), "feature-names")
-    cells = fusion.vector_cells(files.read_blocks(spark, path), names, ("id", "split"))
+    cells = fusion.vector_cells(files.read_blocks(spark, path), names, keep=("id", "split"))
     return cells.groupBy("split", "feature").agg(F.count("*").alias("cells"),
                                         rnd(F.sum(F.col("value") * F.col("value")), 4).alias("energy"))
 
