@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: White space that separates words, and everything that is neither digit, a-z nor above ASCII.
-SPACES = r"[\x20\x09-\x0D]+"
-NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), 0x20]))
+NON_WORD = "".join(chr(c) for c in range(0x80) if not chr(c).isdigit() and not chr(c).islower())
 POINT_BITS = 60
 
 
@@ -26,9 +26,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def words(text: Column, gap: str = SPACES) -> Column:
-    """Words of a text between runs of ``gap``, without empty ones."""
-    return F.filter(F.split(text, gap), lambda w: w != "")
+def words(text: Column, gaps: str = SPACES) -> Column:
+    """Words of a text between runs of the characters in ``gaps``; none are empty."""
+    inner = F.btrim(text, F.lit(gaps))
+    some = "[" + "".join(f"\\x{ord(c):02X}" for c in gaps) + "]+"
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, some))
 
 
 def digest(text: Column) -> Column:

@@ -38,33 +38,29 @@ def probes(asked: DataFrame, frequency: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, text: Column, wanted: DataFrame) -> DataFrame:
-    """Postings (term, doc, positions) of the wanted terms; ``doc`` is the digest of a text, so copies share postings."""
-    tokens = docs.select(digest(text).alias("doc"), F.posexplode(terms_of(text)).alias("at", "term"))
-    return tokens.join(wanted, "term", "left_semi").groupBy("term", "doc").agg(F.array_sort(F.collect_set("at")).alias("positions"))
+    """Postings (term, doc, at) of the wanted terms; ``doc`` is the digest of a text, so copies share postings."""
+    # Selected before the explode: beside it, the digest would be computed once a word.
+    keyed = docs.select(digest(text).alias("doc"), text.alias("body"))
+    tokens = keyed.select("doc", F.posexplode(terms_of(F.col("body"))).alias("at", "term"))
+    return tokens.join(wanted, "term", "left_semi").distinct()
 
 
 def candidates(index: DataFrame, asked: DataFrame, slack: int) -> DataFrame:
-    """(doc, window, starts, near): places where a window's two rarest terms stand as in the phrase, and the number of
-    places where they stand within ``slack`` words of that, those included.
+    """(doc, window, start, exact): places where a window's two rarest terms stand within ``slack`` words of their
+    distance in the phrase; ``exact`` where they stand at that distance.
 
-    Windows that overlap share their pair of rarest terms, so lists are intersected once per pair and distance.
+    Windows that overlap share their pair of rarest terms, so the lists are intersected once per pair and distance.
     """
     pair = ["t1", "t2", "apart"]
     paired = asked.withColumn("apart", F.coalesce(F.col("o2") - F.col("o1"), F.lit(0))).withColumn("t2", F.coalesce("t2", "t1"))
-    pairs = paired.select(*pair).distinct()
-    first = index.select(F.col("term").alias("t1"), "doc", F.col("positions").alias("p1"))
-    second = index.select(F.col("term").alias("t2"), "doc", F.col("positions").alias("p2"))
-    adjusted = F.transform("p2", lambda p: p - F.col("apart"))
+    first = index.select(F.col("term").alias("t1"), "doc", F.col("at").alias("p1"))
+    second = index.select(F.col("term").alias("t2"), "doc", F.col("at").alias("p2"))
+    off = F.col("p2") - F.col("p1") - F.col("apart")
     met = (
-        first.join(pairs, "t1").join(second, ["t2", "doc"])
-        .withColumn("p2", adjusted)
-        .withColumn("exact", F.array_intersect("p1", "p2"))
-        .withColumn("close", F.filter("p1", lambda a: F.exists("p2", lambda b: F.abs(a - b) <= slack)))
-        .where(F.size("close") > 0)
-        .select("doc", *pair, "exact", F.size("close").alias("near"))
+        first.join(paired.select(*pair).distinct(), "t1").join(second, ["t2", "doc"]).where(F.abs(off) <= slack)
+        .groupBy("doc", *pair, "p1").agg(F.max(off == 0).alias("exact"))
     )
-    starts = F.filter(F.transform("exact", lambda p: p - F.col("o1")), lambda s: s >= 0)
-    return met.join(paired.select("window", "o1", *pair), pair).select("doc", "window", starts.alias("starts"), "near")
+    return met.join(paired.select("window", "o1", *pair), pair).select("doc", "window", (F.col("p1") - F.col("o1")).alias("start"), "exact")
 
 
 def contaminated(
@@ -96,22 +92,21 @@ def contaminated(
     places = candidates(index, chosen, slack)
     items = cut.groupBy("window").agg(F.collect_set("item").alias("items"))
     listed = places.join(asked, "window").join(items, "window").groupBy("doc").agg(
-        F.collect_list(F.when(F.size("starts") > 0, F.struct("starts", "terms", "items"))).alias("found"),
-        F.sum("near").alias("near"),
+        F.collect_list(F.when(F.col("exact") & (F.col("start") >= 0), F.struct("start", "terms", "items"))).alias("found"),
+        F.count(F.lit(1)).alias("near"),
     )
     listed = stage(listed, "places")
     held = carry is None or text in carry
     whole = packed(docs, carry, doc=digest(body), **({} if held else {"body": body})).join(listed, "doc", "left")
     joined = bound(whole, w=terms_of(text_of(f"row.`{text}`") if held else F.col("body")))
-    same = lambda f: F.filter(f["starts"], lambda s: F.slice("w", s + 1, F.size(f["terms"])) == f["terms"])
-    checked = bound(joined, true=F.transform("found", lambda f: F.struct(same(f).alias("starts"), F.size(f["terms"]).alias("size"), f["items"].alias("items"))))
-    spans = F.transform("true", lambda f: F.transform(f["starts"], lambda s: F.struct(s.alias("first"), f["size"].alias("length"))))
-    holders = F.flatten(F.transform(F.filter("true", lambda f: F.size(f["starts"]) > 0), lambda f: f["items"]))
+    checked = bound(joined, true=F.filter("found", lambda f: F.slice("w", f["start"] + 1, F.size(f["terms"])) == f["terms"]))
+    spans = F.transform("true", lambda f: F.struct(f["start"].alias("first"), F.size(f["terms"]).alias("length")))
+    holders = F.flatten(F.transform("true", lambda f: f["items"]))
     none = lambda kind: F.array().cast(kind)
     found = bound(
         checked,
-        hits=F.coalesce(F.array_sort(F.array_distinct(F.flatten(spans))), F.expr("cast(array() as array<struct<first: int, length: int>>)")),
-        item_ids=F.coalesce(F.array_sort(F.array_distinct(holders)), none("array<string>")),
+        hits=F.coalesce(F.sort_array(spans), F.expr("cast(array() as array<struct<first: int, length: int>>)")),
+        item_ids=F.coalesce(F.sort_array(F.array_distinct(holders)), none("array<string>")),
     )
     # Hits are in order of their first word: each adds what reaches beyond the last covered word.
     covered = F.aggregate(
@@ -122,5 +117,5 @@ def contaminated(
         ),
         lambda acc: acc["words"].cast("long"),
     )
-    out = found.select("row", F.size("w").cast("long").alias("n_words"), covered.alias("n_hit"), "item_ids", "hits", (F.coalesce("near", F.lit(0)) - F.coalesce(F.aggregate("true", F.lit(0), lambda n, f: n + F.size(f["starts"])), F.lit(0))).cast("long").alias("n_near"))
+    out = found.select("row", F.size("w").cast("long").alias("n_words"), covered.alias("n_hit"), "item_ids", "hits", (F.coalesce("near", F.lit(0)) - F.when(F.col("true").isNull(), 0).otherwise(F.size("true"))).cast("long").alias("n_near"))
     return unpacked(out, "n_words", "n_hit", "item_ids", "hits", "n_near")

@@ -56,7 +56,7 @@ def test_empty_tables(spark, docs, items):
 
 
 def test_proximity_is_told_from_phrases(spark):
-    docs = [(1, "w0 alpha w1 w2 beta w3"), (2, "alpha x x beta w1 w2"), (3, "alpha " + "w1 " * 40 + "beta w2")]
+    docs = [(1, "w0 alpha w1 w2 beta w3"), (2, "alpha x x x beta w1 w2"), (3, "alpha " + "w1 " * 40 + "beta w2")]
     got = {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in run(spark, docs, [(1, "alpha w1 w2 beta")], slack=3).collect()}
     assert got[1] == (4, 0) and got[2][0] == 0 and got[2][1] > 0 and got[3] == (0, 0)
 
