@@ -15,6 +15,8 @@ from tandem.session import stage
 
 #: At most about this many documents teach the scorer, and this many labelled ones of either kind the word list.
 SAMPLE, LABELLED = 12_000, 4_000
+#: A listed word is in so many harmful texts at least, with so much log likelihood of being more than chance.
+LEAST, SURE = 4, 8.0
 FEATURE_BITS = 18
 FEATURES = 1 << FEATURE_BITS
 #: Bytes of text read at once.
@@ -178,12 +180,17 @@ def fit_scorer(row: np.ndarray, feature: np.ndarray, target: np.ndarray, rounds:
     return weights, bias
 
 
+def known_labels(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
+    return labels.select(F.col(doc_id).alias("id"), F.col(label).alias("bad")).where("id is not null and bad is not null").dropDuplicates(["id"])
+
+
 def harmful_words(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, most: int) -> np.ndarray:
-    """Hashes of words that one in 50 harmful sampled texts hold (and five at least) and that clean ones do 50 times less often.
+    """Hashes of words that harmful sampled texts hold significantly more often (SURE) and clean ones 50 times less often.
 
-    The sample is about ``most`` labelled rows of either kind, those whose id comes first on a ring of hashes.
+    No word has to reach a share of all harmful texts, so a language with few of them has its words, too. The sample is
+    about ``most`` labelled rows of either kind, those whose id comes first on a ring of hashes.
     """
-    known = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("bad")).where("id is not null and bad is not null").dropDuplicates(["id"])
+    known = known_labels(labels, doc_id, label)
     counts = {r["bad"]: r["count"] for r in known.groupBy("bad").count().collect()}
     if not counts.get(1):
         return np.zeros(0, np.uint64)
@@ -202,8 +209,11 @@ def harmful_words(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, la
     held = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text")).join(F.broadcast(drawn), "id").select("text", "bad")
     table = held.mapInArrow(words, "word long, bad long, fine long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("fine").alias("fine"))
     weight = min(counts[1], most) / max(1, sum(min(n, most) for k, n in counts.items() if k != 1))
-    common = max(5, min(counts[1], most) // 50)  # more than the copies of one text would make
-    kept = table.where((F.col("bad") >= common) & (F.col("fine") * 50 * weight <= F.col("bad"))).toArrow()
+    base = weight / (1 + weight)
+    # Log likelihood of a word's share of harmful texts against the share of all: n times their divergence.
+    q = F.col("bad") / (F.col("bad") + F.col("fine"))
+    evidence = F.col("bad") * F.log(q / base) + F.when(F.col("fine") > 0, F.col("fine") * F.log((1 - q) / max(1 - base, 1e-9))).otherwise(0.0)
+    kept = table.where((F.col("bad") >= LEAST) & (F.col("fine") * 50 * weight <= F.col("bad")) & (evidence >= SURE)).toArrow()
     return np.sort(kept["word"].to_numpy().view(np.uint64))
 
 
@@ -216,7 +226,8 @@ def judge(
     Six labellers vote good, bad or nothing on each whole text; the sixth looks for words that a bounded sample of
     ``labels`` shows in harmful texts. Vote patterns of all documents are counted, and EM over these at most 3**6 counts
     estimates each labeller's accuracy on good documents and on each kind of bad ones; ``p_bad`` is a document's posterior. A logistic scorer over hashed words and
-    stepped shares learns the posteriors of about ``sample`` documents, drawn by hash of id and text, and gives
+    stepped shares learns the posteriors of about ``sample`` documents, drawn by hash of id and text, and of up to
+    2 * ``labelled`` labelled ones, where those labelled harmful count as surely bad. It gives
     ``score``, the probability that a document is good.
 
     A null or empty text has no votes but is judged like any other. Without label rows the word list is empty. Repeated rows are
@@ -245,9 +256,16 @@ def judge(
             row, feature = features_of(shares, words)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             listed_features = pa.ListArray.from_arrays(pa.array(ends), pa.array(feature.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("at"), listed_features, pa.array(posteriors[pattern_of(votes_of(shares))])], ["at", "features", "target"])
-
-    drawn = docs.select(at.alias("at"), text_of(text).alias("text")).where(F.col("at") < share * float(1 << POINT_BITS))
+            target = np.maximum(posteriors[pattern_of(votes_of(shares))], batch.column("harmful").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([batch.column("at"), listed_features, pa.array(target)], ["at", "features", "target"])
+
+    # Labelled rows teach as well, both kinds at one rate, so they do not shift the share of harmful texts.
+    known = known_labels(labels, doc_id, label)
+    rate = min(1.0, 2 * labelled / max(1, known.count()))
+    told = known.where(point(F.col("id").cast("string")) < rate * float(1 << POINT_BITS))
+    rows = docs.select(F.col(doc_id).alias("id"), at.alias("at"), text_of(text).alias("text")).join(F.broadcast(told), "id", "left")
+    drawn = rows.where((F.col("at") < share * float(1 << POINT_BITS)) | F.col("bad").isNotNull())
+    drawn = drawn.select("at", "text", F.coalesce(F.col("bad") == 1, F.lit(False)).alias("harmful"))
     # Equal rows draw one example, so a hot group of copies can't fill the sample.
     taught = drawn.mapInArrow(encode, "at long, features array<int>, target double").dropDuplicates(["at"]).orderBy("at").toArrow().combine_chunks()
     flat = taught["features"].combine_chunks() if taught.num_rows else None

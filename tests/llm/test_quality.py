@@ -21,6 +21,18 @@ def test_query_finds_bad_documents_and_keeps_clean_ones(spark):
     assert sum(not kept[i] for i, good in truth.items() if not good) >= 0.85 * (len(truth) - len(clean))
 
 
+def test_toxic_recall_in_every_language(spark):
+    """Fluent toxic texts (quality 1); Spanish ones are under a tenth of all."""
+    folder = "/root/testdata/sf0.1"
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
+    kept = {r["doc_id"]: r["keep"] for r in op10_quality(spark, folder).select("doc_id", "keep").collect()}
+    fluent = [r for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r["quality"] == 1]
+    for name in ("de", "en", "es", "fr"):
+        toxic = [kept[r["doc_id"]] for r in fluent if lang[r["doc_id"]] == name and r["toxic"] == 1]
+        clean = [kept[r["doc_id"]] for r in fluent if lang[r["doc_id"]] == name and r["toxic"] == 0]
+        assert sum(not k for k in toxic) >= 0.9 * len(toxic) and sum(clean) >= 0.95 * len(clean), name
+
+
 def words_of(text):
     out = []
     for word in re.findall(rb"[^ \t\n\x0b\x0c\r]+", text.encode()):
