@@ -83,11 +83,11 @@ def contaminated(
     cut = windows(benchmark.where(F.col(item_id).isNotNull()), item_id, item_text, size)
     cut = stage(cut, "windows")
     asked = stage(cut.select("window", "terms").dropDuplicates(["window"]), "asked")
-    terms = stage(asked.select(F.explode("terms").alias("term")).distinct().coalesce(1), "terms")
+    terms = stage(asked.select(F.explode("terms").alias("term")).distinct(), "terms")
     spread = docs.select(F.explode(terms_of(body)).alias("term"))
     frequency = stage(spread.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "frequency")
     chosen = stage(probes(asked, frequency), "probes")
-    wanted = stage(chosen.select(F.explode(F.array("t1", "t2")).alias("term")).where("term is not null").distinct().coalesce(1), "wanted")
+    wanted = stage(chosen.select(F.explode(F.array("t1", "t2")).alias("term")).where("term is not null").distinct(), "wanted")
     index = stage(build_index(docs, body, wanted), "postings")
     places = candidates(index, chosen, slack)
     items = cut.groupBy("window").agg(F.collect_set("item").alias("items"))

@@ -67,3 +67,17 @@ def test_clashing_columns_and_a_long_text(spark):
     out = decontaminate.contaminated(docs, items)
     assert out.columns == ["doc_id", "text", "n_words", "n_hit", "item_ids", "hits", "n_near"]
     assert out.select("n_words", "n_hit").first() == (300_003, 3)
+
+
+def test_distinct_words_are_not_gathered_in_one_task(spark, monkeypatch):
+    plans, stage = {}, decontaminate.stage
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, label)
+
+    monkeypatch.setattr(decontaminate, "stage", watched)
+    docs = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "two three")], "item_id long, text string")
+    assert decontaminate.contaminated(docs, items).first()["n_hit"] == 2
+    assert not any("Repartition" in plans[label] for label in ("terms", "wanted"))
