@@ -176,11 +176,15 @@ def sc_parity(spark, d):
 @query("stream_score", sql(f"""
     SELECT id, {r('z')} AS z, {r('1.0::DOUBLE / (1.0::DOUBLE + exp(-z))')} AS proba FROM zs""", "zs"))
 def stream_score(spark, d):
-    """The records again, this time arriving as files on a stream."""
+    """Every campaign, arriving as files on a stream. Returned are those that the SQL beside it covers: the records."""
+    return _stream_scores(spark, d).join(b.records(spark, d).select("id"), "id", "left_semi")
+
+
+def _stream_scores(spark, d):
+    """(id, z, proba) of every campaign, whatever its state: scoring needs no label."""
     card = b.hashed_card(spark, d)
     inbox, out, marks = (stage_path(spark, x) for x in ("inbox", "scored", "marks"))
-    raw = t.campaigns(spark, d).select(*t.CAMPAIGN_SCHEMA.names)
-    raw.join(b.records(spark, d).select("id"), "id", "left_semi").write.parquet(inbox)
+    t.campaigns(spark, d).select(*t.CAMPAIGN_SCHEMA.names).write.parquet(inbox)
     stream = scoring.score_stream(scoring.campaign_stream(spark, inbox, 4), card)
     scoring.write_scores(stream, out, marks).awaitTermination()
     return spark.read.schema("id long, z double, proba double").parquet(out).select(
