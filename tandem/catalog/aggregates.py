@@ -135,7 +135,7 @@ def _histogram(df, column, bins):
 
 @query("agg_histogram", sql(_histogram_sql("least(greatest(duration_days, 0), 90)", "labelled", 40), "labelled"))
 def agg_histogram(spark, d):
-    return _histogram(b.labelled(spark, d), num.clip(F.col("duration_days"), 0, 90), 40)
+    return _histogram(b.measures(spark, d), num.clip(F.col("duration_days"), 0, 90), 40)
 
 
 @query("agg_histogram_log", sql(_histogram_sql("ln(1.0::DOUBLE + usd_goal_real)", "posts", 40), "posts"))

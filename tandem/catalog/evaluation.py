@@ -70,12 +70,11 @@ def ev_pr_curve(spark, d):
     SELECT k::INTEGER AS grid_index, k / 100.0::DOUBLE AS threshold, count(*) FILTER (proba >= k / 100.0::DOUBLE) AS above
     FROM scores, range(15, 85) g(k) GROUP BY k""", "scores"))
 def ev_threshold_grid(spark, d):
-    """The grid, with how many rows each point would call positive."""
-    cells = b.scores(spark, d).groupBy("proba").agg(F.count("*").alias("n"))
-    grid = cells.select("proba", "n", F.explode(met.threshold_grid()).alias("grid_index")).withColumn(
-        "threshold", F.col("grid_index").cast("double") / 100.0)
-    return grid.groupBy("grid_index", "threshold").agg(
-        F.sum(F.when(F.col("proba") >= F.col("threshold"), F.col("n")).otherwise(0)).alias("above"))
+    """The grid, with how many rows each point would call positive: rows are counted once, at the last point they reach."""
+    counts = met.scored(b.scores(spark, d)).groupBy(met.grid_place().alias("k")).agg(F.count("*").alias("n"))
+    grid = spark.range(1).select(F.explode(met.threshold_grid()).alias("grid_index"))
+    above = grid.join(F.broadcast(counts), F.col("k") >= F.col("grid_index"), "left").groupBy("grid_index").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("above"))
+    return above.select("grid_index", (F.col("grid_index").cast("double") / 100.0).alias("threshold"), "above")
 
 
 _RATES = ("accuracy", "precision", "recall", "f1")

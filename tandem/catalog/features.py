@@ -11,6 +11,7 @@ from tandem.catalog.base import clean_list, cleaned, query, r, rnd, sql, term_li
 from tandem.functions import text as txt
 from tandem.operators import fusion, learn, svd, tabular as tab, textblock as tx
 from tandem.operators.ordering import union_all
+from tandem.session import stage
 from tandem.sources import tables as t
 
 # --- text -------------------------------------------------------------------
@@ -190,14 +191,37 @@ def fx_ordinal(spark, d):
     return tab.ordinal_codes(b.records(spark, d), dictionary, cfg.CATEGORICAL)
 
 
-@query("fx_svd")
-def fx_svd(spark, d):
-    """Rows projected on the leading directions of the post text; fitted on all posts."""
-    block = b.post_block(spark, d)
-    rows = block.transform(b.post_tokens(spark, d))
+@b.shared
+def post_projection(spark, d):
+    """(basis, stored rows): posts projected on the leading directions of their text; fitted on all posts."""
+    rows = b.post_block(spark, d).transform(b.post_tokens(spark, d))
     basis = svd.fit_svd(rows, "text_vec", cfg.SVD_RANK)
     out = svd.project(rows, "text_vec", basis).select("id", vector_to_array("text_svd").alias("v"))
-    return out.select("id", F.posexplode("v").alias("component", "value"))
+    return basis, stage(out, "projection")
+
+
+_SHOWN = 20
+
+
+@query("fx_svd", f"""
+    SELECT a::INTEGER AS a, b::INTEGER AS b, CASE WHEN a = b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS product, true AS falls
+    FROM range({_SHOWN}) x(a), range({_SHOWN}) y(b) WHERE a <= b""")
+def fx_svd(spark, d):
+    """Projections on the first directions, in units of their singular values: of unit length and at right angles,
+    as only those on singular directions are; and no later value is larger."""
+    basis, rows = post_projection(spark, d)
+    scale = F.array(*[F.lit(float(s)) for s in basis.values[:_SHOWN]])
+    cells = F.transform(F.slice("v", 1, _SHOWN), lambda x, k: x / F.element_at(scale, k + 1))
+    pairs = [(i, j) for i in range(_SHOWN) for j in range(i, _SHOWN)]
+    sums = rows.select(cells.alias("c")).agg(*[F.sum(F.col("c")[i] * F.col("c")[j]).alias(f"p{i}_{j}") for i, j in pairs])
+    falls = bool((basis.values[1:] <= basis.values[:-1] + 1e-12).all())
+    cell = lambda i, j: F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"), rnd(f"p{i}_{j}").alias("product"))
+    return sums.select(F.explode(F.array(*[cell(i, j) for i, j in pairs])).alias("c")).select("c.*", F.lit(falls).alias("falls"))
+
+
+@query("fx_svd_rows")
+def fx_svd_rows(spark, d):
+    return post_projection(spark, d)[1].select("id", F.posexplode("v").alias("component", "value"))
 
 
 @query("fx_svd_full", sql(f"""

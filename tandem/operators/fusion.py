@@ -31,6 +31,30 @@ class FeatureSpec:
     min_doc_freq: int = cfg.MIN_DOC_FREQ
 
 
+def slope_names(base: str, column: str, levels: list[str]) -> list[str]:
+    return [f"inter__{base}_x_{column}_{lvl}" for lvl in levels]
+
+
+def bin_labels(n: int, edges: list[float]) -> list[str]:
+    return [f"bin {i} of {n}" for i in range(max(1, len(edges) - 1))]
+
+
+def bin_names(column: str, labels: list[str]) -> list[str]:
+    return [f"inter__{column}_{b}" for b in labels]
+
+
+def cell_names(column: str, labels: list[str], with_column: str, levels: list[str]) -> list[str]:
+    return [f"inter__{with_column}_{lvl}_x_{column}_{b}" for lvl in levels for b in labels]
+
+
+def wider(*specs: FeatureSpec) -> FeatureSpec:
+    """One spec with every column and interaction of the given ones."""
+    merged = lambda name: tuple(dict.fromkeys(x for s in specs for x in getattr(s, name)))
+    return FeatureSpec(
+        merged("numeric"), merged("categorical"), any(s.with_text for s in specs), merged("slopes"), merged("bins"), merged("cells"),
+        max(s.max_terms for s in specs), min(s.min_doc_freq for s in specs))
+
+
 @dataclass
 class FusedModel:
     """A fitted feature pipeline and the dictionary of its columns."""
@@ -55,6 +79,16 @@ class FusedModel:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.pipeline.transform(df)
 
+    def columns_of(self, spec: FeatureSpec) -> list[bool]:
+        """Which of this model's columns a narrower ``spec`` has."""
+        levels = self.tabular.levels
+        crossed = {name for base, column in spec.slopes for name in slope_names(base, column, levels[column])}
+        crossed |= {name for c, n in spec.bins for name in bin_names(c, bin_labels(n, self.edges[c, n]))}
+        crossed |= {name for c, n, w in spec.cells for name in cell_names(c, bin_labels(n, self.edges[c, n]), w, levels[w])}
+        own = {*spec.numeric, *spec.categorical}
+        return [spec.with_text if block == "text" else source in own if block == "tabular" else name in crossed
+                for name, block, source in zip(self.names, self.blocks, self.sources)]
+
     def feature_dict(self, spark: SparkSession) -> DataFrame:
         """(idx, feature, block, source_column); as many rows as the vector is wide."""
         return local_rows(
@@ -108,19 +142,19 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec(),
             hot = OneHotEncoder(inputCols=[f"bin__{column}_{n}"], outputCols=[f"hotbin__{column}_{n}"],
                                 dropLast=False)
             stages.extend([cut, hot.fit(cut.transform(probe))])
-        return [f"bin {i} of {n}" for i in range(len(edges[column, n]) - 1)]
+        return bin_labels(n, edges[column, n])
 
     for base, column in spec.slopes:
         out = f"slope__{base}_{column}"
         stages.append(Interaction(inputCols=[base, f"hot__{column}"], outputCol=out))
         parts.append(out)
-        names += [f"inter__{base}_x_{column}_{lvl}" for lvl in tabular.levels[column]]
+        names += slope_names(base, column, tabular.levels[column])
         blocks += ["interaction"] * len(tabular.levels[column])
         sources += [base] * len(tabular.levels[column])
     for column, n in spec.bins:
         labels = bin_columns(column, n)
         parts.append(f"hotbin__{column}_{n}")
-        names += [f"inter__{column}_{b}" for b in labels]
+        names += bin_names(column, labels)
         blocks += ["interaction"] * len(labels)
         sources += [column] * len(labels)
     for column, n, level_column in spec.cells:
@@ -128,8 +162,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec(),
         out = f"cell__{column}_{level_column}"
         stages.append(Interaction(inputCols=[f"hot__{level_column}", f"hotbin__{column}_{n}"], outputCol=out))
         parts.append(out)
-        cells = [f"inter__{level_column}_{lvl}_x_{column}_{b}"
-                 for lvl in tabular.levels[level_column] for b in labels]
+        cells = cell_names(column, labels, level_column, tabular.levels[level_column])
         names += cells
         blocks += ["interaction"] * len(cells)
         sources += [column] * len(cells)

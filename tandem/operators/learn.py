@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -12,10 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tandem import config as cfg
 from tandem.functions.numeric import unit_hash
-from tandem.operators import metrics as met, svd
+from tandem.operators import metrics as met, multifit, svd
 from tandem.operators.fusion import FusedModel
-from tandem.operators.ordering import union_all
-from tandem.session import enable_checkpoints, in_parallel, local_rows
+from tandem.session import enable_checkpoints, local_rows
 
 
 def fit_logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", balanced: bool = False,
@@ -68,22 +68,30 @@ class Sweep:
     models: dict[float, Model]
 
 
-def sweep_strength(rows: DataFrame, grid=cfg.C_GRID, splits=("val",), workers: int = cfg.PARALLEL_FITS) -> Sweep:
-    """Fit each strength on train; choose by validation F1, the smallest C on ties.
+def sweep_table(spark, rows: multifit.Rows, fitted: multifit.Fitted, columns=None, splits=("val",)) -> Sweep:
+    """Score fitted strengths; choose by validation F1, the smallest C on ties.
 
-    The driver keeps one model per grid value and collects one row per value. All
-    models' predictions are scored together.
+    All models predict in one scan and are scored together. ``columns`` masks the
+    stored columns that the models span.
     """
-    train = rows.where(F.col("split") == "train")
-    fitted = in_parallel([lambda C=C: fit_logistic(train, C) for C in grid], workers)
-    held = rows.where(F.col("split").isin(*splits))
-    preds = union_all([
-        predict(m, held, f"C={C}").withColumns({"grid_index": F.lit(i), "C": F.lit(float(C))})
-        for i, (C, m) in enumerate(zip(grid, fitted))])
+    grid = [p.C for p in fitted.problems]
+    preds = multifit.predict(rows, fitted, [str(i) for i in range(len(grid))], splits)
+    strength = F.element_at(F.array(*[F.lit(C) for C in grid]), F.col("grid_index") + 1)
+    preds = preds.withColumn("grid_index", F.col("model").cast("int")).withColumn("C", strength)
     scored = met.score(preds, 0.5, ("grid_index", "C", "split")).orderBy("grid_index", "split")
-    table = scored.sparkSession.createDataFrame(scored.collect(), scored.schema)
+    table = spark.createDataFrame(scored.collect(), scored.schema)
     best = met.best_row(table.where(F.col("split") == "val"), "f1", "grid_index").first()["C"]
-    return Sweep(table, best, dict(zip(map(float, grid), fitted)))
+    kept = slice(None) if columns is None else np.array(columns, bool)
+    models = {C: multifit.spark_model(spark, w[kept], b) for C, w, b in zip(grid, fitted.coefficients, fitted.intercepts)}
+    return Sweep(table, best, models)
+
+
+def sweep_strength(rows: multifit.Rows | DataFrame, grid=cfg.C_GRID, splits=("val",)) -> Sweep:
+    """Fit every strength on train, all from the same scans, and choose. Rows that are no blocks yet are stored as such."""
+    if isinstance(rows, DataFrame):
+        rows = multifit.store(rows)
+    fitted = multifit.fit(rows, [multifit.Problem(float(C)) for C in grid])
+    return sweep_table(rows.blocks.sparkSession, rows, fitted, splits=splits)
 
 
 # --- trees ------------------------------------------------------------------

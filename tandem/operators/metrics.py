@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tandem import config as cfg
 from tandem.functions.numeric import ratio
-from tandem.operators.ordering import running_totals
+from tandem.operators.ordering import totals_before, union_all
+from tandem.session import stage
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
 
@@ -46,15 +47,37 @@ def confusion(preds: DataFrame, threshold: float | Column = 0.5, groups=()) -> D
         F.count_if(~yes & ~pos).alias("tn"), F.count_if(~yes & pos).alias("fn"))
 
 
+def score_state(preds: DataFrame, groups=()) -> DataFrame:
+    """Positives and negatives per group and score: all that any metric reads.
+
+    States add up: the rows of new predictions become a state of their own and are
+    merged with what is stored, without the old rows.
+    """
+    hit = F.col("label") == 1
+    return scored(preds).groupBy(*groups, "proba").agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
+
+
+def merge_states(*states: DataFrame, groups=()) -> DataFrame:
+    return union_all(states).groupBy(*groups, "proba").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def stored_state(preds: DataFrame, groups=()) -> DataFrame:
+    """The state of predictions, written once; every metric below reads it instead of them."""
+    return stage(score_state(preds, groups), "score-state")
+
+
+def state_totals(state: DataFrame, groups=()) -> DataFrame:
+    """A stored state with ``tp`` and ``fp``, the positives and negatives at a score or above, and
+    ``P`` and ``N``, those of the whole group."""
+    rows = totals_before(state, "proba", ("pos", "neg"), tuple(groups), descending=True)
+    return rows.select(*groups, "proba", "pos", "neg", (F.col("pos_before") + F.col("pos")).alias("tp"),
+                       (F.col("neg_before") + F.col("neg")).alias("fp"), F.col("pos_all").alias("P"), F.col("neg_all").alias("N"))
+
+
 def score_totals(preds: DataFrame, groups=()) -> DataFrame:
     """Per distinct score: its positives and negatives, and ``tp`` and ``fp``, the
     positives and negatives at that score or above."""
-    hit = F.col("label") == 1
-    rows = running_totals(
-        scored(preds), "proba", {"pos": F.when(hit, 1).otherwise(0), "neg": F.when(hit, 0).otherwise(1)},
-        tuple(groups), descending=True)
-    return rows.select(*groups, "proba", "pos", "neg", (F.col("pos_before") + F.col("pos")).alias("tp"),
-                       (F.col("neg_before") + F.col("neg")).alias("fp"))
+    return state_totals(stored_state(preds, groups), groups).drop("P", "N")
 
 
 def _ranking_terms() -> dict[str, Column]:
@@ -70,30 +93,37 @@ def _ranking_terms() -> dict[str, Column]:
 
 def ranking(preds: DataFrame, groups=()) -> DataFrame:
     """ROC-AUC (ties count half) and step-wise average precision."""
-    return score_totals(preds, groups).groupBy(*groups).agg(
-        *[v.alias(k) for k, v in _ranking_terms().items()])
+    return state_ranking(stored_state(preds, groups), groups)
+
+
+def state_ranking(state: DataFrame, groups=()) -> DataFrame:
+    return state_totals(state, groups).groupBy(*groups).agg(*[v.alias(k) for k, v in _ranking_terms().items()])
 
 
 def pr_curve(preds: DataFrame, groups=()) -> DataFrame:
     """(threshold, precision, recall) for every distinct score."""
-    keys = [*groups, "_all"]
-    rows = score_totals(preds.withColumn("_all", F.lit(0)), keys)
-    positives = rows.groupBy(*keys).agg(F.sum("pos").alias("P"))
+    return state_curve(stored_state(preds, groups), groups)
+
+
+def state_curve(state: DataFrame, groups=()) -> DataFrame:
     tp, fp = F.col("tp"), F.col("fp")
-    return rows.join(positives, keys).select(
-        *groups, F.col("proba").alias("threshold"),
-        ratio(tp, tp + fp).alias("precision"), ratio(tp, F.col("P")).alias("recall"))
+    return state_totals(state, groups).select(
+        *groups, F.col("proba").alias("threshold"), ratio(tp, tp + fp).alias("precision"), ratio(tp, F.col("P")).alias("recall"))
 
 
 def score(preds: DataFrame, threshold: float = 0.5, groups=()) -> DataFrame:
     """The full metric row at one threshold; all of it from the per-score counts."""
+    return state_score(stored_state(preds, groups), threshold, groups)
+
+
+def state_score(state: DataFrame, threshold: float = 0.5, groups=()) -> DataFrame:
     yes = F.col("proba") >= F.lit(float(threshold))
 
     def count(name: str, chosen: Column) -> Column:
         return F.coalesce(F.sum(F.when(chosen, F.col(name))), F.lit(0))
 
     cells = (count("pos", yes), count("neg", yes), count("neg", ~yes), count("pos", ~yes))
-    return score_totals(preds, groups).groupBy(*groups).agg(
+    return state_totals(state, groups).groupBy(*groups).agg(
         F.lit(float(threshold)).alias("threshold"),
         *[v.alias(k) for k, v in {**_rates(*cells), **_ranking_terms()}.items()])
 
@@ -109,13 +139,27 @@ def threshold_sweep(preds: DataFrame, groups=(), first: int = cfg.THRESHOLD_FIRS
     A row is counted once, under the largest k with k/100 <= proba; the grid
     then sums at most ``last - first + 2`` counts per group.
     """
+    hit = F.col("label") == 1
+    return _sweep(scored(preds).groupBy(*groups, grid_place(first, last).alias("k")).agg(
+        F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg")), groups, first, last)
+
+
+def state_sweep(state: DataFrame, groups=(), first: int = cfg.THRESHOLD_FIRST, last: int = cfg.THRESHOLD_LAST) -> DataFrame:
+    """The same from a stored state."""
+    return _sweep(state.groupBy(*groups, grid_place(first, last).alias("k")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), groups, first, last)
+
+
+def grid_place(first: int = cfg.THRESHOLD_FIRST, last: int = cfg.THRESHOLD_LAST) -> Column:
+    """The largest k of the grid with k/100 <= proba, or the one before the first."""
     p = F.col("proba")
     guess = F.floor(p * 100).cast("int")
     step = (F.when(p >= (guess + 1).cast("double") / 100.0, 1)
             .when(p < guess.cast("double") / 100.0, -1).otherwise(0))
-    k = F.greatest(F.least(guess + step, F.lit(last)), F.lit(first - 1))
-    counts = scored(preds).groupBy(*groups, k.alias("k")).agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
+    return F.greatest(F.least(guess + step, F.lit(last)), F.lit(first - 1))
+
+
+def _sweep(counts: DataFrame, groups, first: int, last: int) -> DataFrame:
     cells = counts.groupBy(*groups).agg(
         F.collect_list(F.struct("k", "pos", "neg")).alias("cells"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))

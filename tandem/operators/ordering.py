@@ -1,13 +1,14 @@
 """Global order without a global sort: running totals and exact quantiles.
 
-Both cut the value range at approximate quantiles, total each slice, and do
-ordered work only inside a slice. A slice holds about 1/n of the rows whatever
-their distribution; equal values are merged into one row before any ordering,
-so a value shared by a third of the table is a single row.
+Running totals cut the range of distinct values at approximate quantiles, total
+each slice, and do ordered work only inside a slice; equal values are merged into
+one row before, so a value shared by a third of the table is a single row.
+Quantiles order only what lies in narrow brackets around the asked ranks.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -50,90 +51,131 @@ def running_totals(df: DataFrame, value: str, measures: dict[str, Column],
     """Per distinct ``value``: each measure, and its total over the values before it.
 
     Returns ``groups, value, m, m_before`` for every measure ``m`` (summed); before
-    means smaller, or larger with ``descending``.
+    means smaller, or larger with ``descending``. The rows are read once.
     """
-    direction = F.desc if descending else F.asc
-    slices = slices or slice_count(df.sparkSession)
     known = df.where(F.col(value).isNotNull())
-    cut = with_slices(known, slice_bounds(known, [value], slices), "_slice")
-    cut = cut.withColumnRenamed(f"{value}_slice", "slice")
-    per_value = cut.groupBy(*groups, "slice", value).agg(
-        *[F.sum(m).alias(name) for name, m in measures.items()])
-    per_slice = per_value.groupBy(*groups, "slice").agg(
-        *[F.sum(name).alias(f"{name}_slice") for name in measures])
+    state = stage(known.groupBy(*groups, value).agg(*[F.sum(m).alias(name) for name, m in measures.items()]), "per-value")
+    return totals_before(state, value, tuple(measures), groups, slices, descending).drop(*[f"{n}_all" for n in measures])
+
+
+def totals_before(state: DataFrame, value: str, measures: tuple[str, ...], groups: tuple[str, ...] = (),
+                  slices: int | None = None, descending: bool = False) -> DataFrame:
+    """Running totals of a stored table with one row per group and ``value``.
+
+    Adds ``m_before`` and ``m_all``, the total of the group, for every measure ``m``.
+    """
+    direction = F.desc if descending else F.asc
+    slices = slices or slice_count(state.sparkSession)
+    cut = with_slices(state, slice_bounds(state, [value], slices), "_slice").withColumnRenamed(f"{value}_slice", "slice")
+    per_slice = cut.groupBy(*groups, "slice").agg(*[F.sum(n).alias(f"{n}_slice") for n in measures])
 
     # At most (groups x slices) rows are ordered here.
-    earlier = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0)))
-    earlier = earlier.orderBy(direction("slice")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
-        *groups, "slice",
-        *[F.coalesce(F.sum(f"{n}_slice").over(earlier), F.lit(0)).alias(f"{n}_offset")
-          for n in measures])
+    whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    earlier = whole.orderBy(direction("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_slice.select(*groups, "slice", *[c for n in measures for c in (
+        F.coalesce(F.sum(f"{n}_slice").over(earlier), F.lit(0)).alias(f"{n}_offset"), F.sum(f"{n}_slice").over(whole).alias(f"{n}_all"))])
 
     inside = (Window.partitionBy(*groups, "slice").orderBy(direction(value))
               .rowsBetween(Window.unboundedPreceding, -1))
-    ordered = per_value.withColumns({
-        f"{n}_inside": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in measures})
+    ordered = cut.withColumns({f"{n}_inside": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in measures})
     joined = ordered.join(offsets, [*groups, "slice"])
     return joined.select(
         *groups, value,
         *[c for n in measures for c in
-          (F.col(n), (F.col(f"{n}_offset") + F.col(f"{n}_inside")).alias(f"{n}_before"))])
+          (F.col(n), (F.col(f"{n}_offset") + F.col(f"{n}_inside")).alias(f"{n}_before"), F.col(f"{n}_all"))])
+
 
+#: A sketch misses a rank by one in so many rows at most.
+SKETCH_ACCURACY = 10_000
+#: Brackets around a rank, in shares of the rows to either side.
+BRACKETS = (2 / SKETCH_ACCURACY, 0.02, 1.0)
 
-def exact_quantiles(df: DataFrame, columns, probs, slices: int | None = None) -> DataFrame:
+
+def sketches(columns, probs) -> list[Column]:
+    """Aggregates, one per column: its known values counted, and the bounds of brackets around the asked ranks.
+
+    They merge like any aggregate, so they can ride along with others in one scan.
+    """
+    asked = [x for p in probs for w in BRACKETS for x in (max(0.0, p - w), min(1.0, p + w))]
+    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None))
+    return [F.struct(F.count(value(c)).alias("n"), F.percentile_approx(value(c), asked, SKETCH_ACCURACY).alias("bounds")).alias(f"sketch_{c}")
+            for c in columns]
+
+
+def exact_quantiles(df: DataFrame, columns, probs, sketched=None) -> DataFrame:
     """Exact linear-interpolation quantiles: rows of ``(column, prob, value)``.
 
-    Pass 1 cuts the range, pass 2 counts rows per slice, pass 3 counts distinct
-    values in just the slices that hold a wanted rank. Nulls and NaN are skipped.
+    A mergeable rank sketch brackets every asked rank, for all columns in one scan; a second scan counts what
+    lies between the brackets and the distinct values inside them. A rank that its bracket missed is looked for
+    again in the next wider one, the last of which holds all rows, so values are exact whatever the sketch does.
+    Nulls and NaN are skipped. ``sketched`` is a row of ``sketches`` taken before.
     """
     columns, probs = list(columns), [float(p) for p in probs]
-    slices = slices or slice_count(df.sparkSession)
-    bounds = slice_bounds(df, columns, slices)
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"{c}_slice").alias("slice"),
-                 F.col(c).cast("double").alias("value")) for c in columns])
-    cells = (with_slices(df.select(*columns), bounds)
-             .select(F.explode(cells).alias("cell")).select("cell.*")
-             .where(F.col("value").isNotNull() & ~F.isnan("value")))
-
-    # columns x slices rows, then columns x probs x 2 rows
-    per_slice = cells.groupBy("column", "slice").agg(F.count("*").alias("n"))
-    by_column = Window.partitionBy("column")
-    placed = per_slice.withColumns({
-        "before": F.coalesce(F.sum("n").over(
-            by_column.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "total": F.sum("n").over(by_column)})
-    place = F.explode(F.array(*[F.lit(p) for p in probs])).alias("prob")
-    position = (F.col("total") - 1) * F.col("prob")
-    wanted = (
-        placed.select("*", place)
-        .withColumn("weight", position - F.floor(position))
-        .withColumn("rank", F.explode(F.array(F.floor(position), F.ceil(position))))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select("column", "slice", "before", "prob", "weight", "rank").distinct()
-    )
-    targets = wanted.select("column", "slice").distinct()
-    counted = (
-        cells.join(F.broadcast(targets), ["column", "slice"], "left_semi")
-        .groupBy("column", "slice", "value").agg(F.count("*").alias("n"))
-    )
-    inside = Window.partitionBy("column", "slice").orderBy("value")
-    ranked = counted.withColumn(
-        "inside", F.coalesce(F.sum("n").over(
-            inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    start = F.col("before") + F.col("inside")
-    hit = ranked.join(F.broadcast(wanted), ["column", "slice"]).where(
-        (F.col("rank") >= start) & (F.col("rank") < start + F.col("n")))
-    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
-    return hit.groupBy("column", "prob").agg(
-        (low + (high - low) * F.first("weight")).alias("value"))
-
-
-def quantile_values(df: DataFrame, column: str, probs, slices: int | None = None) -> list[float]:
+    if sketched is None:
+        sketched = df.agg(*sketches(columns, probs)).first()
+    known = {c: sketched[f"sketch_{c}"] for c in columns if sketched[f"sketch_{c}"]["n"]}
+    # A bracket has to reach a row beyond the rank on either side.
+    level = {(c, p): next(k for k, w in enumerate(BRACKETS) if w == 1.0 or w * s["n"] >= 2) for c, s in known.items() for p in probs}
+    found: dict[tuple[str, float], float] = {}
+    while left := {key: k for key, k in level.items() if key not in found}:
+        brackets: dict[str, list[tuple[float, float]]] = {}
+        for (c, p), k in left.items():
+            at = 2 * (len(BRACKETS) * probs.index(p) + min(k, len(BRACKETS) - 1))
+            brackets.setdefault(c, []).append(tuple(known[c]["bounds"][at : at + 2]))
+        found |= _inside_brackets(df, {c: s["n"] for c, s in known.items()}, brackets, list(left))
+        level = {key: k + 1 for key, k in left.items()}
+    rows = [(c, p, v) for (c, p), v in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, value double")
+
+
+def _inside_brackets(df: DataFrame, n: dict[str, int], brackets: dict[str, list[tuple[float, float]]], asked: list[tuple[str, float]]) -> dict:
+    """Value of each asked (column, prob) whose ranks lie in a bracket."""
+    edges = {}
+    for c, pairs in brackets.items():
+        merged: list[list[float]] = []
+        for low, high in sorted(pairs):
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], high)
+            else:
+                merged.append([low, high])
+        edges[c] = merged
+
+    def cell(c: str) -> Column:
+        """Segments 2 k + 1 are the brackets, the even ones lie between them."""
+        x = F.col(c).cast("double")
+        segment = sum((F.when(x >= low, 1).otherwise(0) + F.when(x > high, 1).otherwise(0) for low, high in edges[c]), F.lit(0))
+        return F.struct(F.lit(c).alias("column"), segment.alias("segment"), F.when(segment % 2 == 1, x).alias("value"), x.alias("x"))
+
+    cells = df.select(F.explode(F.array(*[cell(c) for c in edges])).alias("cell")).select("cell.*").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    counted = stage(cells.groupBy("column", "segment", "value").agg(F.count("*").alias("n")), "brackets")
+    per_segment: dict[str, dict[int, int]] = {}
+    for r in counted.groupBy("column", "segment").agg(F.sum("n").alias("n")).collect():
+        per_segment.setdefault(r["column"], {})[r["segment"]] = r["n"]
+    targets, ranks = [], {}
+    for c, p in asked:
+        place = (n[c] - 1) * p
+        ranks[c, p] = math.floor(place), math.ceil(place), place - math.floor(place)
+        for rank in set(ranks[c, p][:2]):
+            before = 0
+            for segment, held in sorted(per_segment.get(c, {}).items()):
+                if before <= rank < before + held and segment % 2:
+                    targets.append((c, segment, rank - before, rank))
+                before += held
+    if not targets:
+        return {}
+    wanted = df.sparkSession.createDataFrame(sorted(set(targets)), "column string, segment int, inside long, rank long")
+    window = Window.partitionBy("column", "segment").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = counted.where("value is not null").withColumn("start", F.coalesce(F.sum("n").over(window), F.lit(0)))
+    hits = ordered.join(F.broadcast(wanted), ["column", "segment"]).where("inside >= start and inside < start + n")
+    at = {(r["column"], r["rank"]): r["value"] for r in hits.select("column", "rank", "value").collect()}
+    return {(c, p): at[c, low] + (at[c, high] - at[c, low]) * weight
+            for (c, p), (low, high, weight) in ranks.items() if (c, low) in at and (c, high) in at}
+
+
+def quantile_values(df: DataFrame, column: str, probs) -> list[float]:
     """The same for one column as plain numbers (one per asked probability)."""
     found = {r["prob"]: r["value"]
-             for r in exact_quantiles(df, [column], probs, slices).collect()}
+             for r in exact_quantiles(df, [column], probs).collect()}
     return [found[float(p)] for p in probs if float(p) in found]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tandem.functions import text as txt
-from tandem.operators.ordering import exact_quantiles
+from tandem.operators.ordering import exact_quantiles, sketches
 
 
 def to_rows(one_row: DataFrame, names, key: str, value: str) -> DataFrame:
@@ -71,21 +71,20 @@ def label_correlations(df: DataFrame, columns, label: str = "target") -> DataFra
 
 
 def describe(df: DataFrame, columns) -> DataFrame:
-    """count, mean, std (n-1), min, exact quartiles and max per column."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
-                      for c in columns])
-    moments = (
-        df.select(F.explode(cells).alias("c")).select("c.*").groupBy("column")
-        .agg(F.count("x").alias("count"), F.avg("x").alias("mean"),
-             F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
-    )
-    quartiles = (
-        exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-        .groupBy("column")
-        .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
-               for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))])
-    )
-    return moments.join(quartiles, "column", "left")
+    """count, mean, std (n-1), min, exact quartiles and max per column.
+
+    Moments and rank sketches of all columns are one aggregate; a second scan settles the quartiles.
+    """
+    columns, quartiles = list(columns), {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+
+    def moments(c: str) -> Column:
+        x = F.col(c).cast("double")
+        return F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(c)
+
+    row = df.agg(*[moments(c) for c in columns], *sketches(columns, quartiles)).first()
+    values = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, columns, quartiles, row).collect()}
+    rows = [(c, *row[c], *[values.get((c, p)) for p in quartiles]) for c in columns]
+    return df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, max double, " + ", ".join(f"{q} double" for q in quartiles.values()))
 
 
 def skewness(column: Column) -> Column:

@@ -1,8 +1,8 @@
 """Uncentred truncated SVD of a sparse vector column.
 
-The Gramian has (columns x columns) numbers, bounded by the vocabulary cap and
-independent of the row count. Spark sums it over the rows; only that small
-symmetric matrix is decomposed on the driver. Rows never leave the executors.
+The leading directions are found by a randomised range finder: a block of a few more directions than asked is multiplied
+by the rows and back, one scan at a time, and turned towards the leading ones by polynomials of that product. The driver
+holds columns x directions, never columns x columns; rows never leave the executors.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
+from tandem import config as cfg
+from tandem.operators.sparse import Block, store_vectors, summed
 from tandem.operators.textblock import TextBlock, vector_array
 
 
@@ -34,7 +36,7 @@ class Basis:
 
 
 def gramian(df: DataFrame, vector: str) -> np.ndarray:
-    """Sum of x xT over all rows.
+    """Sum of x xT over all rows, columns x columns: what the range finder is tested against.
 
     Each task holds one packed triangle, so tasks are kept to a few per core
     rather than one per file split.
@@ -57,31 +59,75 @@ def gramian_table(df: DataFrame, vector: str, block: TextBlock) -> DataFrame:
             .select("term_a", "term_b", "dot"))
 
 
-def fit_svd(df: DataFrame, vector: str, rank: int) -> Basis:
-    """Leading right singular vectors; each one's largest entry is positive."""
-    values, vectors = np.linalg.eigh(gramian(df, vector))
-    if rank > len(values):
-        warnings.warn(f"rank {rank} asked of {len(values)} columns: the basis has {len(values)}", stacklevel=2)
-        rank = len(values)
-    order = np.argsort(values)[::-1][:rank]
-    v = vectors[:, order]
+def _times_gramian(blocks: DataFrame, directions: np.ndarray) -> np.ndarray:
+    """Sum over rows of x (x . directions): one scan."""
+    shared = blocks.sparkSession.sparkContext.broadcast(directions)
+
+    def run(block: Block, total: np.ndarray) -> None:
+        block.add_times(block.times(shared.value), total)
+
+    out = summed(blocks, run, directions.shape)
+    shared.unpersist()
+    return out
+
+
+def fit_svd(df: DataFrame, vector: str, rank: int, spare: int | None = None, degree: int = 8, tolerance: float = 1e-8,
+            most_scans: int = 200, seed: int = cfg.SEED) -> Basis:
+    """Leading right singular vectors; each one's largest entry is positive.
+
+    ``spare`` directions beyond ``rank`` (as many again, 10 at least) save scans where the values fall slowly. Between two exact
+    rotations the block is filtered by a Chebyshev polynomial that holds everything below its smallest value down.
+    It ends when rows, times a direction and back, leave it but for ``tolerance`` of the largest value.
+    """
+    blocks = store_vectors(df, vector)
+    first = df.where(F.col(vector).isNotNull()).select(vector).first()
+    width = first[0].size if first else 0
+    if rank > width:
+        warnings.warn(f"rank {rank} asked of {width} columns: the basis has {width}", stacklevel=2)
+        rank = width
+    if not rank:
+        return Basis(np.zeros((width, 0)), np.zeros(0))
+    size = min(width, rank + (max(10, rank) if spare is None else spare))
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, size)))[0]
+    z, scans = _times_gramian(blocks, q), 1
+    while True:
+        values, turn = np.linalg.eigh((q.T @ z + z.T @ q) / 2)
+        order = np.argsort(values)[::-1]
+        values, q, z = values[order], q @ turn[:, order], z @ turn[:, order]
+        left = np.linalg.norm(z[:, :rank] - q[:, :rank] * values[:rank], axis=0).max()
+        if size == width or left <= tolerance * max(values[0], 1e-300):
+            break
+        if scans >= most_scans:
+            warnings.warn(f"after {scans} scans directions still move by {left / values[0]:.1e}", stacklevel=2)
+            break
+        half = max(values[-1], 1e-12 * values[0]) / 2
+        before, now = q, (z - half * q) / half
+        for _ in range(degree - 1):
+            scale = np.linalg.norm(now, axis=0)
+            before, now = before / scale, now / scale
+            before, now = now, 2.0 / half * (_times_gramian(blocks, now) - half * now) - before
+            scans += 1
+        q = np.linalg.qr(now / np.linalg.norm(now, axis=0))[0]
+        z = _times_gramian(blocks, q)
+        scans += 1
+    v = q[:, :rank]
     lead = v[np.argmax(np.abs(v), axis=0), np.arange(rank)]
-    return Basis(v * np.where(lead < 0, -1.0, 1.0), np.sqrt(np.maximum(values[order], 0)))
+    return Basis(v * np.where(lead < 0, -1.0, 1.0), np.sqrt(np.maximum(values[:rank], 0)))
 
 
 def project(df: DataFrame, vector: str, basis: Basis, out: str = "text_svd") -> DataFrame:
-    """Row times basis, batch by batch; the basis travels once per executor."""
+    """Row times basis, a bounded number of cells at once; the basis travels once per executor."""
     shared = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(basis.vectors))
 
     @F.pandas_udf("array<double>")
     def dot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         v = shared.value
         for cells in batches:
-            packed = np.zeros((len(cells), v.shape[1]))
-            for row, (index, weight) in enumerate(zip(cells["indices"], cells["values"])):
-                if len(weight):
-                    weight = np.asarray(weight)
-                    packed[row] = weight @ (v[: len(weight)] if index is None else v[np.asarray(index)])
-            yield pd.Series(list(packed))
+            weights = [np.asarray(w) for w in cells["values"]]
+            columns = [np.arange(len(w)) if i is None else np.asarray(i) for i, w in zip(cells["indices"], weights)]
+            sizes = [len(w) for w in weights]
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            block = Block.of(np.zeros(len(sizes)), row, np.concatenate([*columns, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*weights, np.zeros(0)]))
+            yield pd.Series(list(block.times(v)))
 
     return df.withColumn(out, array_to_vector(dot(F.unwrap_udt(vector))))

@@ -1,8 +1,9 @@
 """Which blocks, feature groups and knobs pay: one metric row per variant.
 
-The split records are staged once and the text block is fitted once; each
-variant only adds or drops columns. Variants are scored on validation and test,
-and only the validation rows may be used to choose.
+The columns of all variants are stored once, side by side; a variant is a mask over
+them. All variants are fitted together, from the same scans, and predicted in one.
+Variants are scored on validation and test, and only the validation rows may be
+used to choose.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, functions as F
 
 from tandem import config as cfg
-from tandem.operators import learn, metrics as met
-from tandem.operators.fusion import FeatureSpec
-from tandem.operators.ordering import union_all
-from tandem.plans.training import Prepared, fit_prepared
-from tandem.session import in_parallel, local_rows
+from tandem.operators import learn, metrics as met, multifit
+from tandem.operators.fusion import FeatureSpec, FusedModel, wider
+from tandem.operators.multifit import Problem
+from tandem.plans.training import Prepared, stored_blocks
+from tandem.session import local_rows, stage
 
 # What each group adds to the basic columns (raw goal, duration, four level columns).
 FEATURE_GROUPS = {
@@ -51,26 +52,33 @@ def collected(table: DataFrame) -> DataFrame:
     return table.sparkSession.createDataFrame(table.collect(), table.schema)
 
 
-def _score_together(preds: list[DataFrame]) -> DataFrame:
-    """One scoring job for all runs: (model, split, metrics)."""
-    return met.score(union_all(preds), 0.5, ("model", "split"))
+def adapted(spec: FeatureSpec, data: Prepared) -> FeatureSpec:
+    """The spec with the vocabulary that ``data`` was prepared with."""
+    return replace(spec, max_terms=data.model.spec.max_terms, min_doc_freq=data.model.spec.min_doc_freq)
 
 
-def _variants(data: Prepared, specs: dict[str, FeatureSpec], C: float, workers: int = cfg.PARALLEL_FITS) -> DataFrame:
-    def run(name: str, spec: FeatureSpec):
-        spec = replace(spec, max_terms=data.model.spec.max_terms, min_doc_freq=data.model.spec.min_doc_freq)
-        part = data if spec == data.model.spec else fit_prepared(
-            data.records, spec, text=data.model.text, tabular=data.model.tabular)
-        return part.model, fit_predict(part.rows, name, C)
+def stored_variants(data: Prepared, specs: dict[str, FeatureSpec]) -> tuple[FusedModel, multifit.Rows]:
+    """The columns of all given and all standard variants, stored once for a prepared table."""
+    every = [*FEATURE_GROUPS.values(), *INTERACTIONS.values()]
+    every += [s for s in specs.values() if s not in every]
+    return stored_blocks(data, adapted(wider(*every), data))
 
-    runs = in_parallel([lambda n=n, s=s: run(n, s) for n, s in specs.items()], workers)
+
+def fitted_variants(data: Prepared, specs: dict[str, FeatureSpec], C: float) -> tuple[FusedModel, multifit.Rows, multifit.Fitted]:
+    model, rows = stored_variants(data, specs)
+    masks = [tuple(model.columns_of(adapted(spec, data))) for spec in specs.values()]
+    return model, rows, multifit.fit(rows, [Problem(C, columns=m) for m in masks])
+
+
+def _variants(data: Prepared, specs: dict[str, FeatureSpec], C: float) -> DataFrame:
+    model, rows, fitted = fitted_variants(data, specs, C)
+    widths = [sum(p.columns) for p in fitted.problems]
+    extra = [sum(c and b == "interaction" for c, b in zip(p.columns, model.blocks)) for p in fitted.problems]
     facts = local_rows(
         data.records.sparkSession,
-        {"variant_index": list(range(len(runs))), "variant": list(specs),
-         "n_features": [m.width for m, _ in runs],
-         "n_extra": [m.block_widths()["interaction"] for m, _ in runs]},
+        {"variant_index": list(range(len(specs))), "variant": list(specs), "n_features": widths, "n_extra": extra},
         "variant_index int, variant string, n_features int, n_extra int")
-    scored = _score_together([p for _, p in runs]).withColumnRenamed("model", "variant")
+    scored = met.score(multifit.predict(rows, fitted, list(specs)), 0.5, ("model", "split")).withColumnRenamed("model", "variant")
     return collected(facts.join(scored, "variant").select(
         "variant_index", "variant", "split", "n_features", "n_extra", *met.METRICS)
         .orderBy("variant_index", "split"))
@@ -94,31 +102,35 @@ def with_deltas(table: DataFrame, metric: str = "f1", tree_value: float | None =
     return out
 
 
-def modalities(data: Prepared, C: float = 1.0, workers: int = cfg.PARALLEL_FITS) -> DataFrame:
+def modality_masks(model: FusedModel) -> dict[str, tuple[bool, ...]]:
+    return {"text only": tuple(b == "text" for b in model.blocks), "tabular only": tuple(b != "text" for b in model.blocks),
+            "fused": (True,) * model.width}
+
+
+def modalities(data: Prepared, C: float = 1.0) -> DataFrame:
     """Text alone, tabular alone, both."""
-    tabular = fit_prepared(data.records, replace(data.model.spec, with_text=False),
-                           tabular=data.model.tabular)
-    runs = [(data.rows, "text only", "text_vec"), (tabular.rows, "tabular only", "features"),
-            (data.rows, "fused", "features")]
-    return collected(_score_together(in_parallel(
-        [lambda r=r, n=n, f=f: fit_predict(r, n, C, f) for r, n, f in runs], workers)))
+    model, rows = stored_blocks(data)
+    masks = modality_masks(model)
+    fitted = multifit.fit(rows, [Problem(C, columns=m) for m in masks.values()])
+    return collected(met.score(multifit.predict(rows, fitted, list(masks)), 0.5, ("model", "split")))
 
 
 TUNED = "l2, C=1, tuned threshold"
 KNOBS = {
-    "l2, C=1": {"C": 1.0}, "l2, C=10": {"C": 10.0},
-    "l2, C=1, balanced": {"C": 1.0, "balanced": True},
-    "l1, C=1": {"C": 1.0, "penalty": "l1"},
+    "l2, C=1": Problem(1.0), "l2, C=10": Problem(10.0),
+    "l2, C=1, balanced": Problem(1.0, balanced=True),
+    "l1, C=1": Problem(1.0, "l1"),
 }
 
 
-def knobs(data: Prepared, workers: int = cfg.PARALLEL_FITS) -> DataFrame:
+def knobs(data: Prepared) -> DataFrame:
     """Strength, class weights, penalty and a validation-tuned threshold, in one table."""
-    preds = in_parallel([lambda n=n, kw=kw: fit_predict(data.rows, n, **kw) for n, kw in KNOBS.items()], workers)
-    plain = preds[0]
+    _, rows = stored_blocks(data)
+    preds = stage(multifit.predict(rows, multifit.fit(rows, list(KNOBS.values())), list(KNOBS)), "knobs")
+    plain = preds.where(F.col("model") == next(iter(KNOBS)))
     cut = met.tune_threshold(plain).first()["threshold"]
     tuned = met.score(plain.withColumn("model", F.lit(TUNED)), cut, ("model", "split"))
-    return collected(_score_together(preds).unionByName(tuned))
+    return collected(met.score(preds, 0.5, ("model", "split")).unionByName(tuned))
 
 
 def ranked(table: DataFrame, metric: str = "f1", n: int = 10, key: str = "model") -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from tandem import config as cfg
-from tandem.operators import learn, metrics as met, split
+from tandem.operators import learn, metrics as met, multifit, split
 from tandem.operators.fusion import FeatureSpec, FusedModel, fit_features, tidy
+from tandem.operators.multifit import Problem
 from tandem.operators.ordering import union_all
 from tandem.operators.prepare import (
     add_clean_title, add_engineered, base_table, drop_empty_titles,
@@ -28,6 +29,7 @@ class Prepared:
     records: DataFrame
     model: FusedModel
     rows: DataFrame
+    blocks: dict[FeatureSpec, tuple[FusedModel, multifit.Rows]] = field(default_factory=dict, repr=False)
 
     def part(self, name: str) -> DataFrame:
         return self.rows.where(F.col("split") == name)
@@ -66,6 +68,18 @@ def fit_prepared(records: DataFrame, spec: FeatureSpec, **blocks) -> Prepared:
     return Prepared(records, model, rows)
 
 
+def stored_blocks(data: Prepared, spec: FeatureSpec | None = None) -> tuple[FusedModel, multifit.Rows]:
+    """Sparse blocks of the prepared rows, or of those of a wider spec on the blocks already fitted; written once each."""
+    spec = spec or data.model.spec
+    if spec not in data.blocks:
+        model, rows = data.model, data.rows
+        if spec != model.spec:
+            model = fit_features(data.records.where(F.col("split") == "train"), spec, text=model.text, tabular=model.tabular)
+            rows = tidy(model.transform(data.records))
+        data.blocks[spec] = model, multifit.store(rows, model.width)
+    return data.blocks[spec]
+
+
 @dataclass
 class TrainingResult:
     prepared: Prepared
@@ -87,17 +101,17 @@ def run(campaigns: DataFrame, rounds: int = cfg.BOOSTING_ROUNDS, rank: int = cfg
         grid=cfg.C_GRID, with_trees: bool = True) -> TrainingResult:
     spark = campaigns.sparkSession
     data = prepare(campaigns)
-    sweep = learn.sweep_strength(data.rows, grid)
-    linear = sweep.models[sweep.best_C]
-
-    held = data.rows.where(F.col("split") != "train")
-    preds = {LINEAR: learn.predict(linear, held, LINEAR)}
-
-    # Interactions at the same strength, on the blocks already fitted.
+    # Plain and crossed columns side by side: every strength of both is fitted from the same scans.
     spec = replace(data.model.spec, slopes=((cfg.CROSS_BASE, cfg.CROSS_WITH),))
-    crossed = fit_prepared(data.records, spec, text=data.model.text, tabular=data.model.tabular)
-    crossed_model = learn.fit_logistic(crossed.train, sweep.best_C)
-    preds[CROSSED] = learn.predict(crossed_model, crossed.rows.where(F.col("split") != "train"), CROSSED)
+    wide, blocks = stored_blocks(data, spec)
+    plain = tuple(wide.columns_of(data.model.spec))
+    grid = list(map(float, grid))
+    fitted = multifit.fit(blocks, [Problem(C, columns=plain) for C in grid] + [Problem(C) for C in grid])
+    sweep = learn.sweep_table(spark, blocks, fitted.some(range(len(grid))), plain)
+    best = grid.index(sweep.best_C)
+    linear = sweep.models[sweep.best_C]
+    pair = fitted.some([best, len(grid) + best])
+    preds = {LINEAR: multifit.predict(blocks, pair, [LINEAR, CROSSED])}
 
     trees = None
     if with_trees:
@@ -113,10 +127,9 @@ def run(campaigns: DataFrame, rounds: int = cfg.BOOSTING_ROUNDS, rank: int = cfg
 
     test = predictions.where(F.col("split") == "test")
     scored = [met.score(test, 0.5, ("model",))]
-    for name in preds:
-        if name != CROSSED:
-            scored.append(met.score(test.where(F.col("model") == name), thresholds[name], ("model",))
-                          .withColumn("model", F.concat("model", F.lit(" @val-thr"))))
+    for name in (LINEAR, *([TREES] if with_trees else [])):
+        scored.append(met.score(test.where(F.col("model") == name), thresholds[name], ("model",))
+                      .withColumn("model", F.concat("model", F.lit(" @val-thr"))))
     table = union_all(scored).select("model", "threshold", *met.METRICS)
     comparison = spark.createDataFrame(table.collect(), table.schema)
 

@@ -1,7 +1,11 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from conftest import plan_of
+from tandem.catalog import base
 from tandem.operators import metrics as met, profile
+from tandem.session import stage
 
 PERFECT = [(0, 0.02), (1, 0.85), (0, 0.3), (1, 0.6), (0, 0.11), (1, 0.97)]
 
@@ -138,3 +142,32 @@ def test_rows_without_score_or_label_count_nowhere(spark):
     assert met.threshold_sweep(df).collect() == met.threshold_sweep(clean).collect()
     assert met.tune_threshold(df).first() == met.tune_threshold(clean).first()
     assert met.unscored(df).first()[0] == 4
+
+
+# --- stored states ----------------------------------------------------------
+
+def test_merged_states_equal_the_whole(spark, folder):
+    preds = base.scores(spark, folder)
+    parts = [met.stored_state(preds.where(F.col("id") % 3 == k), ("split",)) for k in range(3)]
+    merged = stage(met.merge_states(*parts, groups=("split",)), "merged")
+    whole = met.stored_state(preds, ("split",))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
+    for read in (met.state_ranking, met.state_curve, met.state_sweep, lambda s, g: met.state_score(s, 0.5, g)):
+        assert sorted(map(tuple, read(merged, ("split",)).collect())) == sorted(map(tuple, read(whole, ("split",)).collect()))
+    assert sorted(map(tuple, met.state_sweep(whole, ("split",)).collect())) == sorted(map(tuple, met.threshold_sweep(preds, ("split",)).collect()))
+
+
+def test_new_predictions_join_a_stored_state_without_the_old_rows(spark, folder):
+    preds = base.scores(spark, folder)
+    old, new = met.stored_state(preds.where("id % 2 = 0")), met.score_state(preds.where("id % 2 = 1"))
+    merged = met.merge_states(old, new)
+    assert plan_of(merged).count("FileScan") == 2  # the old state and the new rows
+    assert met.state_ranking(stage(merged, "merged")).collect() == met.ranking(preds).collect()
+
+
+def test_metrics_scan_predictions_once(spark, folder):
+    """The predictions are read for the state; the metric's own plan reads the state alone."""
+    preds = base.scores(spark, folder)
+    assert plan_of(met.score_state(preds, ("split",))).count("FileScan") == 1
+    own = {f.rsplit("/", 2)[-2] for f in met.score(preds, 0.5, ("split",)).inputFiles()}
+    assert len(own) == 1 and own.pop().startswith("score-state")
