@@ -133,11 +133,12 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec(),
     blocks += ["tabular"] * tabular.width
     sources += tabular.source_columns
 
-    edges: dict[tuple[str, int], list[float]] = {}
+    edges = tab.bin_edges(train, [*spec.bins, *[(c, n) for c, n, _ in spec.cells]])
+    binned: set[tuple[str, int]] = set()
 
     def bin_columns(column: str, n: int) -> list[str]:
-        if (column, n) not in edges:
-            edges[column, n] = tab.quantile_edges(train, column, n)
+        if (column, n) not in binned:
+            binned.add((column, n))
             cut = tab.bin_stage(column, edges[column, n], f"bin__{column}_{n}")
             hot = OneHotEncoder(inputCols=[f"bin__{column}_{n}"], outputCols=[f"hotbin__{column}_{n}"],
                                 dropLast=False)

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tandem.operators.sparse import BLOCK_ROWS, PAYLOAD, Block, dealt, flat_vector, from_vectors, read, summed
 from tandem.session import local_rows, stage
 
-#: Rows, about, and columns behind the dense part of the starting curvature. They set the number of scans, not the result.
-CURVATURE_ROWS, CURVATURE_COLUMNS = 8192, 1024
+#: Columns in the dense part of the starting curvature, and rows that are filled in for it at once.
+CURVATURE_COLUMNS, CURVATURE_ROWS = 1024, 512
 #: Newton decrement at which a problem has converged, and the most scans.
 TOLERANCE, MOST_SCANS = 1e-10, 500
 _BLOCK = ", ".join(["split string", "ids array<long>", *[f"{c} binary" for c in PAYLOAD]])
@@ -115,38 +115,27 @@ def _totals(train: DataFrame, width: int) -> tuple[float, float, np.ndarray]:
 
 
 def _curvature(train: DataFrame, width: int, n: float, moments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(columns, their mean products) of the columns with the largest moments, the intercept included.
+    """(columns, their mean products) of the CURVATURE_COLUMNS columns with the largest moments, and the intercept: one scan.
 
-    Read off an even draw of about CURVATURE_ROWS rows; means of squares are exact. A starting point for the
-    optimisers' own curvature: it decides how many scans they take, not what they find.
+    A starting point for the optimisers' own curvature: it decides how many scans they take, not what they find. It
+    counts all rows, since columns that add up to one another must do so here as well.
     """
     chosen = np.sort(np.argsort(-moments[:width], kind="stable")[:CURVATURE_COLUMNS])
     chosen = np.append(chosen[moments[chosen] > 0], width)
-    step = max(1, int(n // CURVATURE_ROWS))
     place = np.full(width + 1, -1, np.int64)
     place[chosen] = np.arange(len(chosen))
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                block = read(batch, k)
-                kept = (block.row % step == 0) & (place[block.column] >= 0)
-                size = -(-len(block.labels) // step)
-                payload = (block.row[kept] // step, place[block.column[kept]], block.cell[kept])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([size], pa.int32()), *[pa.array([p.astype(t).tobytes()], pa.binary()) for p, t in zip(payload, ("<i4", "<i4", "<f8"))]], ["n", "rows", "columns", "cells"])
-
-    products, rows = np.zeros((len(chosen), len(chosen))), 0
-    for part in train.select(*PAYLOAD).mapInArrow(draw, "n int, rows binary, columns binary, cells binary").toArrow().to_pylist():
-        dense = np.zeros((part["n"], len(chosen)))
-        dense[:, -1] = 1.0
-        dense[np.frombuffer(part["rows"], "<i4"), np.frombuffer(part["columns"], "<i4")] = np.frombuffer(part["cells"], "<f8")
-        products += dense.T @ dense
-        rows += part["n"]
-    products /= max(rows, 1)
-    diagonal = np.arange(len(chosen))
-    products[diagonal, diagonal] = np.maximum(products[diagonal, diagonal], moments[chosen] / max(n, 1))
-    return chosen, products
+    def run(block: Block, total: np.ndarray) -> None:
+        kept = place[block.column] >= 0
+        row, column, cell = block.row[kept], place[block.column[kept]], block.cell[kept]
+        for first in range(0, len(block.labels), CURVATURE_ROWS):
+            some = slice(*np.searchsorted(row, (first, first + CURVATURE_ROWS)))
+            filled = np.zeros((min(CURVATURE_ROWS, len(block.labels) - first), len(chosen)))
+            filled[row[some] - first, column[some]] = cell[some]
+            filled[:, -1] = 1.0
+            total += filled.T @ filled
+
+    return chosen, summed(train, run, (len(chosen), len(chosen))) / n
 
 
 # --- optimisers: each yields a point and is sent its mean loss and gradient ---

@@ -130,23 +130,22 @@ def exact_quantiles(df: DataFrame, columns, probs, sketched=None) -> DataFrame:
 
 def _inside_brackets(df: DataFrame, n: dict[str, int], brackets: dict[str, list[tuple[float, float]]], asked: list[tuple[str, float]]) -> dict:
     """Value of each asked (column, prob) whose ranks lie in a bracket."""
-    edges = {}
+    bounds = {}
     for c, pairs in brackets.items():
-        merged: list[list[float]] = []
+        edges: list[float] = []
         for low, high in sorted(pairs):
-            if merged and low <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], high)
+            beyond = math.nextafter(high, math.inf)
+            if edges and low <= edges[-1]:
+                edges[-1] = max(edges[-1], beyond)
             else:
-                merged.append([low, high])
-        edges[c] = merged
-
-    def cell(c: str) -> Column:
-        """Segments 2 k + 1 are the brackets, the even ones lie between them."""
-        x = F.col(c).cast("double")
-        segment = sum((F.when(x >= low, 1).otherwise(0) + F.when(x > high, 1).otherwise(0) for low, high in edges[c]), F.lit(0))
-        return F.struct(F.lit(c).alias("column"), segment.alias("segment"), F.when(segment % 2 == 1, x).alias("value"), x.alias("x"))
-
-    cells = df.select(F.explode(F.array(*[cell(c) for c in edges])).alias("cell")).select("cell.*").where(F.col("x").isNotNull() & ~F.isnan("x"))
+                edges += [low, beyond]
+        bounds[c] = edges
+    # Slices 2 k + 1 are the brackets, the even ones lie between them.
+    cut = with_slices(df.select(*bounds), bounds)
+    cells = F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(f"{c}_slice").alias("segment"), F.col(c).cast("double").alias("x")) for c in bounds])
+    cells = cut.select(F.explode(cells).alias("cell")).select("cell.*").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    cells = cells.withColumn("value", F.when(F.col("segment") % 2 == 1, F.col("x")))
     counted = stage(cells.groupBy("column", "segment", "value").agg(F.count("*").alias("n")), "brackets")
     per_segment: dict[str, dict[int, int]] = {}
     for r in counted.groupBy("column", "segment").agg(F.sum("n").alias("n")).collect():

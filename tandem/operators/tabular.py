@@ -16,7 +16,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tandem import config as cfg
-from tandem.operators.ordering import numbered, quantile_values
+from tandem.operators.ordering import exact_quantiles, numbered
 from tandem.operators.prepare import check_features
 from tandem.operators.profile import level_table
 from tandem.session import pinned
@@ -149,12 +149,26 @@ def long_interaction(df: DataFrame, base: str, with_column: str, dictionary: Dat
 
 def quantile_edges(train: DataFrame, column: str, bins: int) -> list[float]:
     """Exact quantile edges; edges closer than 1e-8 are merged."""
-    raw = quantile_values(train, column, [i / bins for i in range(bins + 1)])
-    edges = raw[:1]
-    for e in raw[1:]:
-        if e - edges[-1] > 1e-8:
-            edges.append(e)
-    return edges
+    return bin_edges(train, [(column, bins)])[column, bins]
+
+
+def bin_edges(train: DataFrame, wanted) -> dict[tuple[str, int], list[float]]:
+    """Edges of several (column, bins) from the same two scans."""
+    wanted = list(dict.fromkeys(wanted))
+    if not wanted:
+        return {}
+    probs = sorted({i / n for _, n in wanted for i in range(n + 1)})
+    columns = list(dict.fromkeys(c for c, _ in wanted))
+    found = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(train, columns, probs).collect()}
+    out = {}
+    for c, n in wanted:
+        raw = [found[c, i / n] for i in range(n + 1) if (c, i / n) in found]
+        edges = raw[:1]
+        for e in raw[1:]:
+            if e - edges[-1] > 1e-8:
+                edges.append(e)
+        out[c, n] = edges
+    return out
 
 
 def bin_stage(column: str, edges: list[float], out: str) -> Bucketizer:
