@@ -136,27 +136,38 @@ def features_of(shares: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarra
     return both // FEATURES, both % FEATURES
 
 
-def fit_labellers(patterns: dict[int, int], labellers: int, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
+def fit_labellers(
+    patterns: dict[int, int], labellers: int, rounds: int = 100, known: dict[tuple[int, int], int] | None = None
+) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
     """EM over counts of vote patterns: (share of each kind, rate of bad votes per kind and labeller, posterior of bad
     per pattern).
 
     Kind 0 is good. Documents go bad in different ways and each labeller sees some of them, so there is one bad kind per
     labeller, started from the documents that it votes against; votes are independent within a kind only. A labeller's
     accuracy on good documents is one less its rate at kind 0. A missing vote says nothing.
+
+    ``known`` counts labelled documents by (pattern, 1 for bad): their class stays as labelled, and only the kind of the
+    bad ones is estimated.
     """
-    keys = np.array(sorted(patterns), np.int64)
-    weight = np.array([patterns[k] for k in keys.tolist()], float)
+    known = known or {}
+    keys = np.array(sorted({*patterns, *(k for k, _ in known)}), np.int64)
+    weight, good, bad = (
+        np.array([counts(k) for k in keys.tolist()], float)
+        for counts in (lambda k: patterns.get(k, 0), lambda k: known.get((k, 0), 0), lambda k: known.get((k, 1), 0))
+    )
     votes = keys[:, None] // 3 ** np.arange(labellers) % 3 - 1
     against = votes == 1
     q = np.concatenate([np.where(against.any(axis=1), 0.05, 0.95)[:, None], against * 0.95 / np.maximum(against.sum(axis=1), 1)[:, None] + 0.05 / labellers], axis=1)
     q /= q.sum(axis=1, keepdims=True)
     for _ in range(rounds):
         mass = weight[:, None] * q
-        share = (mass.sum(axis=0) + 1e-3) / (weight.sum() + 1e-3 * (labellers + 1))
+        mass[:, 0] += good
+        mass[:, 1:] += bad[:, None] * q[:, 1:] / q[:, 1:].sum(axis=1, keepdims=True)
+        share = (mass.sum(axis=0) + 1e-3) / (mass.sum() + 1e-3 * (labellers + 1))
         rate = (mass.T @ against + 0.01) / (mass.T @ (votes >= 0) + 1.0)
         rate = np.clip(rate, 1e-4, 1 - 1e-4)
         log = np.log(share) + against @ np.log(rate).T + (votes == 0) @ np.log(1 - rate).T
-        q = np.exp(log - log.max(axis=1, keepdims=True))
+        q = np.exp(log - log.max(axis=1, keepdims=True)) + 1e-300
         q /= q.sum(axis=1, keepdims=True)
     return share, rate, dict(zip(keys.tolist(), (1 - q[:, 0]).tolist()))
 
@@ -181,7 +192,16 @@ def fit_scorer(row: np.ndarray, feature: np.ndarray, target: np.ndarray, rounds:
 
 
 def known_labels(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
-    return labels.select(F.col(doc_id).alias("id"), F.col(label).alias("bad")).where("id is not null and bad is not null").dropDuplicates(["id"])
+    """(id, bad) once per labelled id; of labels that differ the largest counts."""
+    said = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("bad")).where("id is not null and bad is not null")
+    return said.groupBy("id").agg(F.max("bad").alias("bad"))
+
+
+def known_classes(labels: DataFrame, doc_id: str, label: str, good: str) -> DataFrame:
+    """(id, truth) once per labelled id: 1 if any of its labels calls it harmful or no good, 0 if one calls it good and none bad."""
+    bad = F.coalesce(F.col(label) == 1, F.lit(False)) | F.coalesce(F.col(good) == 0, F.lit(False))
+    said = labels.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.when(bad, 1).when(F.col(good) == 1, 0).alias("truth"))
+    return said.where("truth is not null").groupBy("id").agg(F.max("truth").alias("truth"))
 
 
 def harmful_words(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, most: int) -> np.ndarray:
@@ -218,17 +238,17 @@ def harmful_words(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, la
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
+    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", good: str = "quality",
     sample: int = SAMPLE, labelled: int = LABELLED, carry: list[str] | None = None,
 ) -> DataFrame:
     """Input columns (those in ``carry``, if given), ``p_bad``, ``score``, and ``keep`` (score at least 0.5).
 
     Six labellers vote good, bad or nothing on each whole text; the sixth looks for words that a bounded sample of
     ``labels`` shows in harmful texts. Vote patterns of all documents are counted, and EM over these at most 3**6 counts
-    estimates each labeller's accuracy on good documents and on each kind of bad ones; ``p_bad`` is a document's posterior. A logistic scorer over hashed words and
-    stepped shares learns the posteriors of about ``sample`` documents, drawn by hash of id and text, and of up to
-    2 * ``labelled`` labelled ones, where those labelled harmful count as surely bad. It gives
-    ``score``, the probability that a document is good.
+    estimates each labeller's accuracy on good documents and on each kind of bad ones; documents that ``labels`` calls
+    harmful, or good or no good, keep that class in it. ``p_bad`` is the posterior of a document's votes. A logistic
+    scorer over hashed words and stepped shares learns the posteriors of about ``sample`` documents, drawn by hash of id
+    and text, and of up to 2 * ``labelled`` labelled ones. It gives ``score``, the probability that a document is good.
 
     A null or empty text has no votes but is judged like any other. Without label rows the word list is empty. Repeated rows are
     judged alike. An empty table gives no rows. Input columns named like an output are replaced.
@@ -240,13 +260,16 @@ def judge(
         for batch in batches:
             kinds, words = read_texts(batch.column("text"))
             pattern = pattern_of(votes_of(shares_of(kinds, words, listed)))
-            yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(pattern)], ["at", "pattern"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(pattern)], ["id", "pattern"])
 
     at = point(F.concat_ws("|", F.col(doc_id).cast("string"), text_of(text)))
-    cast = stage(docs.select(at.alias("at"), text_of(text).alias("text")).mapInArrow(vote, "at long, pattern long"), "votes")
-    patterns = {r["pattern"]: r["count"] for r in cast.groupBy("pattern").count().collect()}
-    _, _, posterior = fit_labellers(patterns, len(CUTS))
-    share = min(1.0, sample / max(1, sum(patterns.values())))
+    ids = docs.schema[doc_id].dataType.simpleString()
+    cast = stage(docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text")).mapInArrow(vote, f"id {ids}, pattern long"), "votes")
+    known = known_classes(labels, doc_id, label, good)
+    counted = cast.join(known, "id", "left").groupBy("pattern", "truth").count().collect()
+    patterns = {r["pattern"]: r["count"] for r in counted if r["truth"] is None}
+    _, _, posterior = fit_labellers(patterns, len(CUTS), known={(r["pattern"], r["truth"]): r["count"] for r in counted if r["truth"] is not None})
+    share = min(1.0, sample / max(1, sum(r["count"] for r in counted)))
     posteriors = np.array([posterior.get(k, 0.0) for k in range(3 ** len(CUTS))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,16 +279,16 @@ def judge(
             row, feature = features_of(shares, words)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             listed_features = pa.ListArray.from_arrays(pa.array(ends), pa.array(feature.astype(np.int32)))
-            target = np.maximum(posteriors[pattern_of(votes_of(shares))], batch.column("harmful").to_numpy(zero_copy_only=False))
+            truth = batch.column("truth").to_numpy(zero_copy_only=False)
+            target = np.where(truth < 0, posteriors[pattern_of(votes_of(shares))], truth)
             yield pa.RecordBatch.from_arrays([batch.column("at"), listed_features, pa.array(target)], ["at", "features", "target"])
 
-    # Labelled rows teach as well, both kinds at one rate, so they do not shift the share of harmful texts.
-    known = known_labels(labels, doc_id, label)
+    # Labelled rows teach as well, both classes at one rate, so they do not shift the share of bad texts.
     rate = min(1.0, 2 * labelled / max(1, known.count()))
     told = known.where(point(F.col("id").cast("string")) < rate * float(1 << POINT_BITS))
     rows = docs.select(F.col(doc_id).alias("id"), at.alias("at"), text_of(text).alias("text")).join(F.broadcast(told), "id", "left")
-    drawn = rows.where((F.col("at") < share * float(1 << POINT_BITS)) | F.col("bad").isNotNull())
-    drawn = drawn.select("at", "text", F.coalesce(F.col("bad") == 1, F.lit(False)).alias("harmful"))
+    drawn = rows.where((F.col("at") < share * float(1 << POINT_BITS)) | F.col("truth").isNotNull())
+    drawn = drawn.select("at", "text", F.coalesce("truth", F.lit(-1)).alias("truth"))
     # Equal rows draw one example, so a hot group of copies can't fill the sample.
     taught = drawn.mapInArrow(encode, "at long, features array<int>, target double").dropDuplicates(["at"]).orderBy("at").toArrow().combine_chunks()
     flat = taught["features"].combine_chunks() if taught.num_rows else None

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -89,3 +90,69 @@ def test_nulls_repeats_no_labels_and_clashing_columns(spark):
     assert len(got) == 6 and all(0 <= r["score"] <= 1 for r in got)
     assert len({r["score"] for r in got if r["doc_id"] == 4}) == 1
     assert quality.judge(docs.limit(0), labels).collect() == [] and quality.judge(docs, labels.limit(0)).count() == 6
+
+
+def test_clashing_labels_count_as_the_worst(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (2, 0, 0), (2, 1, 0), (3, 1, 0), (4, None, 0), (None, 0, 1), (5, None, 1)], "doc_id long, quality int, toxic int")
+    assert {r["id"]: r["truth"] for r in quality.known_classes(labels, "doc_id", "toxic", "quality").collect()} == {1: 1, 2: 1, 3: 0, 5: 1}
+    assert {r["id"]: r["bad"] for r in quality.known_labels(labels, "doc_id", "toxic").collect()} == {1: 1, 2: 0, 3: 0, 4: 0, 5: 1}
+
+
+def test_labelled_classes_stay_fixed_in_em():
+    """A labeller that only labelled documents tell from noise is believed as far as they bear it out."""
+    silent, against = quality.pattern_of(np.array([[0, 0]]))[0], quality.pattern_of(np.array([[1, 0]]))[0]
+    free = quality.fit_labellers({silent: 900, against: 100}, 2)[2]
+    told = quality.fit_labellers({silent: 900, against: 100}, 2, known={(against, 0): 300, (silent, 0): 300})[2]
+    assert told[against] < free[against]
+
+
+def plain_judge(docs, labels, listed):
+    """p_bad of every document by plain Python: votes text by text, EM pattern by pattern."""
+    truth = {}
+    for i, good, toxic in labels:
+        if i is not None and (toxic == 1 or good is not None):
+            truth[i] = max(truth.get(i, 0), int(toxic == 1 or good == 0))
+    cast = {}
+    for i, text in docs:
+        found, letters = words_of(text or ""), [c for c in (text or "").encode() if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128]
+        raw = (text or "").encode()
+        kinds = quality._KIND[np.frombuffer(raw, np.uint8)] if raw else np.zeros(0, np.uint8)
+        seen = [int((kinds == k).sum()) for k in range(6)]
+        n = len(found)
+        solid = [h for h, s in found if s]
+        echoes = sum(a == b and b[1] for a, b in zip(found, found[1:]))
+        top = max(Counter(found).values(), default=0)
+        share = lambda a, b: a / b if b else None
+        shares = [share(seen[1], len(letters)), share(seen[3], sum(seen) - seen[4]), share(echoes, n), share(n - len(solid), n), share(top, n) if n >= 20 else None, share(sum(h in listed for h, _ in found), n)]
+        cast[i] = tuple(-1 if s is None else 1 if s >= high else 0 if s <= low else -1 for s, (low, high) in zip(shares, quality.CUTS.values()))
+    counts = Counter((v, truth.get(i)) for i, v in cast.items())
+    kinds = 7
+    q = {}
+    for v in {v for v, _ in counts}:
+        bad = [0.95 / max(v.count(1), 1) * (x == 1) + 0.05 / 6 for x in v]
+        whole = [0.05 if 1 in v else 0.95, *bad]
+        q[v] = [x / sum(whole) for x in whole]
+    for _ in range(100):
+        mass = {v: [0.0] * kinds for v in q}
+        for (v, t), n in counts.items():
+            kept = q[v] if t is None else [1.0] + [0.0] * 6 if t == 0 else [0.0, *[x / sum(q[v][1:]) for x in q[v][1:]]]
+            mass[v] = [a + n * b for a, b in zip(mass[v], kept)]
+        total = sum(map(sum, mass.values()))
+        share = [(sum(m[k] for m in mass.values()) + 1e-3) / (total + 7e-3) for k in range(kinds)]
+        rate = [[min(max((sum(m[k] for v, m in mass.items() if v[j] == 1) + 0.01) / (sum(m[k] for v, m in mass.items() if v[j] >= 0) + 1.0), 1e-4), 1 - 1e-4) for j in range(6)] for k in range(kinds)]
+        for v in q:
+            like = [share[k] * float(np.prod([rate[k][j] if x == 1 else 1 - rate[k][j] if x == 0 else 1.0 for j, x in enumerate(v)])) for k in range(kinds)]
+            q[v] = [x / sum(like) for x in like]
+    return {i: 1 - q[v][0] for i, v in cast.items()}
+
+
+def test_query_posteriors_against_plain_python(spark, folder, monkeypatch):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    labels = [(r["doc_id"], r["quality"], r["toxic"]) for r in spark.read.parquet(f"{folder}/labels.parquet").collect()]
+    heard = []
+    real = quality.harmful_words
+    monkeypatch.setattr(quality, "harmful_words", lambda *a: heard.append(real(*a)) or heard[-1])
+    got = {r["doc_id"]: r for r in op10_quality(spark, folder).collect()}
+    want = plain_judge(docs, labels, set(heard[0].tolist()))
+    assert max(abs(got[i]["p_bad"] - p) for i, p in want.items()) < 1e-6
+    assert all(r["keep"] == (r["score"] >= 0.5) for r in got.values())
