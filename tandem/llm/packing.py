@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tandem.llm.common import local_rows, packed, point, ranked, slice_bits, text_of, unpacked
-from tandem.llm.tokens import encoder, groups
+from tandem.llm.tokens import encoder
 from tandem.session import stage
 
 #: Pieces in one Arrow batch.
@@ -23,7 +23,7 @@ def cut_documents(docs: DataFrame, path: str, size: int, end_id: int, text: str,
     ending = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_all
+        encode = encoder(path).encode
         for batch in batches:
             rows, made = batch.column("row"), []
 
@@ -35,15 +35,14 @@ def cut_documents(docs: DataFrame, path: str, size: int, end_id: int, text: str,
                     columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(flat)))
                 return pa.RecordBatch.from_arrays(columns, names)
 
-            for first, texts in groups(batch.column("text")):
-                for k, data in enumerate(encode(texts), first):
-                    data += ending
-                    for at in range(0, len(data), 4 * size):
-                        part = data[at : at + 4 * size]
-                        made.append((k, at // 4, len(part) // 4, zlib.crc32(part), len(data) // 4, part if with_ids else b""))
-                        if len(made) == BATCH_PIECES:
-                            yield flush(made)
-                            made = []
+            for k, value in enumerate(batch.column("text")):
+                data = encode(value.as_py()) + ending
+                for at in range(0, len(data), 4 * size):
+                    part = data[at : at + 4 * size]
+                    made.append((k, at // 4, len(part) // 4, zlib.crc32(part), len(data) // 4, part if with_ids else b""))
+                    if len(made) == BATCH_PIECES:
+                        yield flush(made)
+                        made = []
             if made:
                 yield flush(made)
 

@@ -6,15 +6,9 @@ import functools
 import os
 import re
 from array import array
-from collections.abc import Iterator
-from itertools import chain
-
-import pyarrow as pa
 
 #: Encoded pieces a Python worker remembers before it starts afresh.
 REMEMBERED = 500_000
-#: Characters of text that are encoded together.
-GROUP = 1 << 20
 #: Texts of these characters are cut by PIECES exactly as the tokenizer file's byte-level splitter cuts them. Any other
 #: text is encoded whole.
 _PLAIN = re.compile(r"[\t-\r -±´-¸º»¿-ɏ]*")
@@ -33,33 +27,19 @@ class Encoder(dict):
         self.tokenizer.encode_special_tokens = True
         self.split = '"use_regex":true' in self.tokenizer.pre_tokenizer.__getstate__().decode().replace(" ", "")
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", found.ids).tobytes() for found in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+    def __missing__(self, piece: str) -> bytes:
+        self[piece] = found = self.whole(piece)
+        return found
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. Pieces that are new are encoded together."""
-        plain = [bool(self.split and _PLAIN.fullmatch(text)) for text in texts]
+    def encode(self, text: str) -> bytes:
+        if not self.split or not _PLAIN.fullmatch(text):
+            return self.whole(text)
         if len(self) > REMEMBERED:
             self.clear()
-        cut = [PIECES.findall(text) if short else () for text, short in zip(texts, plain)]
-        new = list(set(chain.from_iterable(cut)).difference(self))
-        self.update(zip(new, self.whole(new)))
-        others = iter(self.whole([text for text, short in zip(texts, plain) if not short]))
-        return [b"".join(map(self.__getitem__, pieces)) if short else next(others) for pieces, short in zip(cut, plain)]
-
-
-def groups(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """(place of the first, texts) with about GROUP characters together."""
-    texts, first, held = [], 0, 0
-    for k, value in enumerate(column):
-        texts.append(value.as_py())
-        held += len(texts[-1])
-        if held >= GROUP or k + 1 == len(column):
-            yield first, texts
-            texts, first, held = [], k + 1, 0
+        return b"".join(map(self.__getitem__, PIECES.findall(text)))
 
 
 @functools.lru_cache(maxsize=4)
