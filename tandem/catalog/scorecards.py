@@ -59,6 +59,11 @@ def sc_contrib(spark, d):
     return out.withColumn("contribution", rnd("contribution"))
 
 
+def _unseen(model, column: str) -> str:
+    """A level that training never saw: all its known ones joined."""
+    return "+".join(model.tabular.levels[column]) + "+"
+
+
 @query("sc_whatif", sql(f"""
     WITH w AS (SELECT id, z, log_goal, scale, {hash_coef("'num__log_goal'")} AS wg, main_category,
                       {hash_coef("concat('cat__main_category_', main_category)")} AS wm
@@ -71,7 +76,7 @@ def sc_whatif(spark, d):
     """Every record as it is, with a larger goal, and under an unseen category."""
     import math
     changes = {"goal of a million": {"log_goal": math.log1p(1_000_000)},
-               "unknown category": {"main_category": "Atlantis"}}
+               "unknown category": {"main_category": _unseen(b.features(spark, d), "main_category")}}
     out = sc.what_if(b.hashed_card(spark, d), b.records(spark, d), changes)
     return out.select("id", "scenario", rnd("z").alias("z"))
 
@@ -83,7 +88,7 @@ def sc_unknown_level(spark, d):
     """Losing a known level moves the log-odds by exactly its coefficient."""
     card = b.hashed_card(spark, d)
     rec = b.records(spark, d).withColumn("known_country", F.col("country"))
-    out = sc.what_if(card, rec, {"gone": {"country": "Atlantis"}})
+    out = sc.what_if(card, rec, {"gone": {"country": _unseen(b.features(spark, d), "country")}})
 
     def z(scenario):
         return F.max(F.when(F.col("scenario") == scenario, num.logit(F.col("proba"))))
@@ -99,7 +104,7 @@ _SHIFT = """CASE variant WHEN 4 THEN (0 - log_goal) / scale * wg
 
 
 @query("sc_edge_cases", sql(f"""
-    WITH e AS (SELECT id, unnest(['', '{_STOPS}', concat(name, ' ', name, ' ', name), concat('#1 ', upper(name), '!! (v', id, ')')]) AS title,
+    WITH e AS (SELECT id, unnest(['', '{_STOPS}', concat(name, ' ', name, ' ', name), regexp_replace(upper(name), ' ', ' ~+ ', 'g')]) AS title,
                       unnest([0, 1, 2, 3]) AS variant FROM rec),
     tok AS (SELECT id, variant, unnest({b.term_list(b.cleaned('title'))}) AS term FROM e),
     cnt AS (SELECT id, variant, term, count(*) AS tf FROM tok GROUP BY ALL),
@@ -117,15 +122,15 @@ _SHIFT = """CASE variant WHEN 4 THEN (0 - log_goal) / scale * wg
     FROM e JOIN tab USING (id) LEFT JOIN zt USING (id, variant)
     UNION ALL SELECT id, variant::INTEGER, {r("z + " + _SHIFT)} FROM f""", "rec", "cvocab", "parts", "zs", "stats"))
 def sc_edge_cases(spark, d):
-    """Every record under an empty, an all-stop-word, a repeating and a noisy title, a goal of nothing and of a million
+    """Every record under an empty, an all-stop-word and a repeating title, and one of capitals with signs between the words, a goal of nothing and of a million
     millions, an unseen country, an unseen year and no category."""
     rec = b.records(spark, d)
     name, kinds = F.col("name"), dict(rec.dtypes)
     changes = [
         {"name": F.lit("")}, {"name": F.lit(_STOPS)}, {"name": F.concat_ws(" ", name, name, name)},
-        {"name": F.concat(F.lit("#1 "), F.upper(name), F.lit("!! (v"), F.col("id").cast("string"), F.lit(")"))},
+        {"name": F.replace(F.upper(name), F.lit(" "), F.lit(" ~+ "))},
         {"log_goal": F.lit(0.0)}, {"log_goal": F.log(F.lit(1000000000001.0))},
-        {"country": F.lit("Atlantis")}, {"launch_year": F.lit("2999")}, {"category": F.lit(None)},
+        {"country": F.lit(_unseen(b.features(spark, d), "country"))}, {"launch_year": F.lit(_unseen(b.features(spark, d), "launch_year"))}, {"category": F.lit(None)},
     ]
     fields = sorted({f for c in changes for f in c})
     variants = F.array(*[F.struct(F.lit(i).alias("variant"), *[c.get(f, F.col(f)).cast(kinds[f]).alias(f) for f in fields]) for i, c in enumerate(changes)])
@@ -150,7 +155,13 @@ def sc_current(spark, d):
 @query("snk_scorecard", sql(f"""
     SELECT kind, name, coef FROM ({_CARD_ROWS})
     UNION ALL SELECT 'intercept', '', {hash_coef("'intercept'")}
-    UNION ALL SELECT 'idf', term, round(idf, 6) FROM cvocab""", "cvocab", "stats", "levels"))
+    UNION ALL SELECT 'idf', term, round(idf, 6) FROM cvocab
+    UNION ALL SELECT 'fact', concat('n_', split), count(*)::DOUBLE FROM rec GROUP BY split
+    UNION ALL SELECT 'fact', 'n_features', count(*)::DOUBLE FROM features
+    UNION ALL SELECT 'fact', 'majority_accuracy', {r('greatest(avg(target), 1.0::DOUBLE - avg(target))')} FROM rec WHERE split = 'test'
+    """ + "".join(f"""
+    UNION ALL SELECT 'form', (SELECT concat('{c}=', {c}) FROM rec WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1), 0.0::DOUBLE"""
+    for c in export.FORM_COLUMNS), "cvocab", "stats", "levels", "rec", "features"))
 def snk_scorecard(spark, d):
     """The scorecard out to one JSON document and back."""
     path = stage_path(spark, "scorecard")
@@ -158,7 +169,9 @@ def snk_scorecard(spark, d):
     card = export.load(spark, path)
     idf = card.term_table(spark).select(F.lit("idf").alias("kind"), F.col("term").alias("name"),
                                         F.col("idf").alias("coef"))
-    one = spark.createDataFrame([("intercept", "", card.intercept)], "kind string, name string, coef double")
+    rows = [("intercept", "", card.intercept), *[("fact", k, v) for k, v in card.facts.items()], *[("form", f"{k}={v}", 0.0) for k, v in card.form.items()]]
+    one = spark.createDataFrame(rows, "kind string, name string, coef double").withColumn(
+        "coef", F.when(F.col("name") == "majority_accuracy", rnd("coef")).otherwise(F.col("coef")))
     return card.table(spark).unionByName(idf).unionByName(one)
 
 

@@ -30,6 +30,8 @@ class Scorecard:
     intercept: float
     thresholds: dict[str, float] = field(default_factory=lambda: {"default": 0.5})
     metrics: dict[str, float] = field(default_factory=dict)
+    facts: dict[str, float] = field(default_factory=dict)   # row counts, feature count, majority accuracy
+    form: dict[str, str] = field(default_factory=dict)      # first choices of a scoring form
 
     @property
     def width(self) -> int:
@@ -273,7 +275,7 @@ def from_payload(df: DataFrame) -> Scorecard:
         [(n["column"], n["mean"], n["scale"], n["coef"]) for n in r["numeric"]],
         {c: sorted(entries(ls).items(), key=lambda x: x[0].encode())
          for c, ls in entries(r["categorical"]).items()},
-        r["intercept"], entries(r["thresholds"]), entries(r["metrics"]))
+        r["intercept"], entries(r["thresholds"]), entries(r["metrics"]), entries(r.get("facts")), entries(r.get("form")))
 
 
 PAYLOAD_SCHEMA = (
@@ -281,4 +283,5 @@ PAYLOAD_SCHEMA = (
     "tfidf struct<norm:string,smooth_idf:boolean,sublinear_tf:boolean,min_token_length:int>, "
     "stopwords array<string>, vocab map<string,array<double>>, "
     "numeric array<struct<column:string,mean:double,scale:double,coef:double>>, "
-    "categorical map<string,map<string,double>>, thresholds map<string,double>, metrics map<string,double>")
+    "categorical map<string,map<string,double>>, thresholds map<string,double>, metrics map<string,double>, "
+    "model string, title_features map<string,string>, facts map<string,double>, form map<string,string>")

@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, functions as F
 
 from tandem import config as cfg
-from tandem.operators import learn, metrics as met, multifit
+from tandem.operators import metrics as met, multifit
 from tandem.operators.fusion import FeatureSpec, FusedModel, wider
 from tandem.operators.multifit import Problem
 from tandem.plans.training import Prepared, stored_blocks
@@ -40,13 +40,6 @@ INTERACTIONS = {
 }
 
 
-def fit_predict(rows: DataFrame, name: str, C: float, features: str = "features",
-                splits=("val", "test"), **fit) -> DataFrame:
-    """Fit on train, predict the held-out splits."""
-    model = learn.fit_logistic(rows.where(F.col("split") == "train"), C, features=features, **fit)
-    return learn.predict(model, rows.where(F.col("split").isin(*splits)), name, features)
-
-
 def collected(table: DataFrame) -> DataFrame:
     """Run a report now: a few metric rows, kept as a small table."""
     return table.sparkSession.createDataFrame(table.collect(), table.schema)

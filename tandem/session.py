@@ -5,10 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -75,16 +73,6 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
-def in_parallel(thunks, workers: int) -> list:
-    """Run independent jobs from driver threads, results in order.
-
-    Each fit caches its own training blocks, so the number at once stays small.
-    """
-    inherit = inheritable_thread_target(SparkSession.getActiveSession())
-    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        return [f.result() for f in [pool.submit(inherit(t)) for t in thunks]]
-
-
 def pinned(df: DataFrame) -> DataFrame:
     """Run a fitted table once and keep its rows for later uses.
 
