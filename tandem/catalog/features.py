@@ -194,7 +194,7 @@ def fx_ordinal(spark, d):
 @b.shared
 def post_projection(spark, d):
     """(basis, stored rows): posts projected on the leading directions of their text; fitted on all posts."""
-    rows = b.post_block(spark, d).transform(b.post_tokens(spark, d))
+    rows = stage(b.post_block(spark, d).transform(b.post_tokens(spark, d)).select("id", "text_vec"), "post_vectors")
     basis = svd.fit_svd(rows, "text_vec", cfg.SVD_RANK)
     out = svd.project(rows, "text_vec", basis).select("id", vector_to_array("text_svd").alias("v"))
     return basis, stage(out, "projection")

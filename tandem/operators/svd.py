@@ -1,8 +1,9 @@
 """Uncentred truncated SVD of a sparse vector column.
 
 The leading directions are found by a randomised range finder: a block of a few more directions than asked is multiplied
-by the rows and back, one scan at a time, and turned towards the leading ones by polynomials of that product. The driver
-holds columns x directions, never columns x columns; rows never leave the executors.
+by the rows and back, and turned towards the leading ones by polynomials of that product. Up to PRODUCT_COLUMNS columns
+their products by each other are summed in one scan and every multiplication reads those; wider rows are scanned each
+time, and the driver holds columns x directions only. Rows never leave the executors.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from tandem import config as cfg
 from tandem.operators.sparse import Block, store_vectors, summed
 from tandem.operators.textblock import TextBlock, vector_array
 
+#: Columns whose products by each other are summed at once, rows that are filled in for it together, and columns of a strip.
+PRODUCT_COLUMNS, PRODUCT_ROWS, PRODUCT_STRIP = 4096, 512, 256
+
 
 @dataclass
 class Basis:
@@ -59,6 +63,29 @@ def gramian_table(df: DataFrame, vector: str, block: TextBlock) -> DataFrame:
             .select("term_a", "term_b", "dot"))
 
 
+def _products(blocks: DataFrame, width: int) -> np.ndarray:
+    """Sum over rows of x xT: one scan. Tasks add up strips of the upper triangle, the driver mirrors them."""
+    edges = [*range(0, width, PRODUCT_STRIP), width]
+    strips = list(zip(edges, edges[1:]))
+    ends = np.cumsum([0] + [(b - a) * (width - a) for a, b in strips])
+
+    def run(block: Block, total: np.ndarray) -> None:
+        for first in range(0, len(block.labels), PRODUCT_ROWS):
+            some = slice(*np.searchsorted(block.row, (first, first + PRODUCT_ROWS)))
+            filled = np.zeros((min(PRODUCT_ROWS, len(block.labels) - first), width))
+            filled[block.row[some] - first, block.column[some]] = block.cell[some]
+            for (a, b), at in zip(strips, ends):
+                part = total[at : at + (b - a) * (width - a)].reshape(b - a, width - a)
+                part += filled[:, a:b].T @ filled[:, a:]
+
+    found = summed(blocks, run, (int(ends[-1]),))
+    out = np.zeros((width, width))
+    for (a, b), at in zip(strips, ends):
+        out[a:b, a:] = found[at : at + (b - a) * (width - a)].reshape(b - a, width - a)
+        out[a:, a:b] = out[a:b, a:].T
+    return out
+
+
 def _times_gramian(blocks: DataFrame, directions: np.ndarray) -> np.ndarray:
     """Sum over rows of x (x . directions): one scan."""
     shared = blocks.sparkSession.sparkContext.broadcast(directions)
@@ -88,8 +115,13 @@ def fit_svd(df: DataFrame, vector: str, rank: int, spare: int | None = None, deg
     if not rank:
         return Basis(np.zeros((width, 0)), np.zeros(0))
     size = min(width, rank + (max(10, rank) if spare is None else spare))
+    if width <= PRODUCT_COLUMNS:
+        products = _products(blocks, width)
+        times = lambda directions: products @ directions
+    else:
+        times = lambda directions: _times_gramian(blocks, directions)
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, size)))[0]
-    z, scans = _times_gramian(blocks, q), 1
+    z, scans = times(q), 1
     while True:
         values, turn = np.linalg.eigh((q.T @ z + z.T @ q) / 2)
         order = np.argsort(values)[::-1]
@@ -105,10 +137,10 @@ def fit_svd(df: DataFrame, vector: str, rank: int, spare: int | None = None, deg
         for _ in range(degree - 1):
             scale = np.linalg.norm(now, axis=0)
             before, now = before / scale, now / scale
-            before, now = now, 2.0 / half * (_times_gramian(blocks, now) - half * now) - before
+            before, now = now, 2.0 / half * (times(now) - half * now) - before
             scans += 1
         q = np.linalg.qr(now / np.linalg.norm(now, axis=0))[0]
-        z = _times_gramian(blocks, q)
+        z = times(q)
         scans += 1
     v = q[:, :rank]
     lead = v[np.argmax(np.abs(v), axis=0), np.arange(rank)]

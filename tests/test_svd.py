@@ -85,3 +85,21 @@ def test_blocks_multiply_like_matrices():
         total, factors = np.zeros((9, k)), rng.normal(size=(50, k))
         block.add_times(factors, total)
         np.testing.assert_allclose(total, x.T @ factors, atol=1e-12)
+
+
+def test_narrow_rows_are_scanned_once(spark, monkeypatch):
+    """Products of the columns, summed in one scan, give what multiplying the rows each time gives."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(300, 70)) * (rng.random((300, 70)) < 0.2) * 0.95 ** np.arange(70)
+    scans = []
+    counted = svd.summed
+    monkeypatch.setattr(svd, "summed", lambda *a: (scans.append(1), counted(*a))[1])
+    monkeypatch.setattr(svd, "PRODUCT_STRIP", 32)
+    monkeypatch.setattr(svd, "PRODUCT_ROWS", 128)
+    once = svd.fit_svd(frame(spark, x), "v", 5)
+    assert len(scans) == 1
+    monkeypatch.setattr(svd, "PRODUCT_COLUMNS", 0)
+    each = svd.fit_svd(frame(spark, x), "v", 5)
+    assert len(scans) > 2
+    np.testing.assert_allclose(once.values, np.linalg.svd(x)[1][:5], rtol=1e-9)
+    np.testing.assert_allclose(once.vectors, each.vectors, atol=1e-6)
