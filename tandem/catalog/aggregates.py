@@ -170,7 +170,7 @@ def agg_doc_freq(spark, d):
     "pw", "pclean"))
 def agg_mean_tfidf(spark, d):
     block = b.post_block(spark, d)
-    means = tx.mean_weights(block.long(b.post_tokens(spark, d)), block.n_docs)
+    means = tx.mean_weights(b.post_tokens(spark, d), block)
     return means.select("term", rnd("mean_tfidf").alias("mean_tfidf"))
 
 

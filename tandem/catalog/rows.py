@@ -395,7 +395,7 @@ def top_idf(spark, d):
 def top_mean_tfidf(spark, d):
     from tandem.operators.textblock import mean_weights
     block = b.post_block(spark, d)
-    means = mean_weights(block.long(b.post_tokens(spark, d)), block.n_docs)
+    means = mean_weights(b.post_tokens(spark, d), block)
     return (means.select("term", rnd("mean_tfidf").alias("mean_tfidf"))
             .orderBy(F.desc("mean_tfidf"), "term").limit(20))
 
