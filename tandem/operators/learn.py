@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -15,6 +15,7 @@ from tandem import config as cfg
 from tandem.functions.numeric import unit_hash
 from tandem.operators import metrics as met, multifit, svd
 from tandem.operators.fusion import FusedModel
+from tandem.operators.sparse import dealt
 from tandem.session import enable_checkpoints, local_rows
 
 
@@ -22,22 +23,14 @@ def fit_logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", balanced
                  features: str = "features", max_iter: int = 500, tol: float = 1e-8) -> Model:
     """Regularised logistic regression; a larger ``C`` penalises less.
 
-    The loss here is a mean over rows, so the strength is 1 / (C * rows). ``train``
-    should be a stored table: it is read once and kept by the fit as it iterates.
+    The loss here is a mean over rows, so the strength is 1 / (C * rows). The rows are stored once as sparse blocks and
+    scanned at most ``max_iter`` times, usually ten to thirty: ``multifit`` says how.
     """
     if penalty not in ("l1", "l2"):
         raise ValueError(f"unknown penalty {penalty!r}")
-    n, n_pos = train.agg(F.count("*"), F.sum(F.col("target").cast("long"))).first()
-    rows = train.select(F.col(features).alias("features"), F.col("target").cast("double").alias("label"))
-    weight, total = {}, float(n)
-    if balanced:
-        # n / (2 * class rows); the weights sum to n again
-        rows = rows.withColumn("weight", F.when(F.col("label") == 1, n / (2.0 * n_pos))
-                               .otherwise(n / (2.0 * (n - n_pos))))
-        weight = {"weightCol": "weight"}
-    return LogisticRegression(
-        regParam=1.0 / (C * total), elasticNetParam=1.0 if penalty == "l1" else 0.0,
-        standardization=False, maxIter=max_iter, tol=tol, **weight).fit(rows)
+    rows = multifit.store(train.select(F.lit(0).alias("id"), F.lit("train").alias("split"), "target", F.col(features).alias("features")))
+    fitted = multifit.fit(rows, [multifit.Problem(float(C), penalty, balanced)], tolerance=min(tol, multifit.TOLERANCE), most_scans=max_iter)
+    return multifit.spark_model(train.sparkSession, fitted.coefficients[0], fitted.intercepts[0])
 
 
 def predict(model: Model, df: DataFrame, name: str, features: str = "features") -> DataFrame:
@@ -124,10 +117,13 @@ def fit_dense(train: DataFrame, model: FusedModel, rank: int = cfg.SVD_RANK) ->
 def fit_boosting(train: DataFrame, rounds: int = cfg.BOOSTING_ROUNDS, step: float = cfg.BOOSTING_STEP,
                  depth: int = 5, features: str = "dense", holdout: float = 0.1, max_levels: int = 0,
                  tol: float = 1e-5, seed: int = cfg.SEED) -> Model:
-    """Boosted trees that stop when a held-out tenth of train no longer improves."""
+    """Boosted trees that stop when a held-out tenth of train no longer improves.
+
+    Rows are dealt out first: every level of every tree reads them again, and files of few distinct values hold many in a split.
+    """
     enable_checkpoints(train.sparkSession)
     held = unit_hash(F.concat(F.col("id").cast("string"), F.lit(f":{seed}:stop"))) < holdout
-    rows = train.select(features, F.col("target").cast("double").alias("label"), held.alias("held"))
+    rows = dealt(train.select(features, F.col("target").cast("double").alias("label"), held.alias("held")))
     return GBTClassifier(
         featuresCol=features, labelCol="label", maxIter=rounds, stepSize=step, maxDepth=depth,
         maxBins=max(256, max_levels + 1), validationIndicatorCol="held", validationTol=tol,
