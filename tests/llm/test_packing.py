@@ -52,6 +52,17 @@ def test_pieces_keep_the_tokenizer_ids(tokenizer):
         assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_new_pieces_go_to_the_model_alone(tokenizer, monkeypatch):
+    """Every character that pieces can hold, alone and in pairs, gives the ids of the whole tokenizer."""
+    encoder = tokens.Encoder(PATH)
+    assert encoder.bare
+    plain = [c for c in map(chr, range(0x250)) if tokens._PLAIN.fullmatch(c)]
+    cases = plain + [a + b for a in " 'aé" for b in plain] + ["don't we've I'll", "naïve  \n\t x_1"]
+    wanted = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in cases]
+    monkeypatch.setattr(encoder, "whole", lambda text: pytest.fail("encoded whole"), raising=False)
+    assert [encoder.encode(t) for t in cases] == wanted
+
+
 def test_fill_is_shortest_pack_first():
     rng = random.Random(2)
     for _ in range(50):
