@@ -21,6 +21,8 @@ FEATURE_BITS = 18
 FEATURES = 1 << FEATURE_BITS
 #: Bytes of text read at once.
 CHUNK = 1 << 20
+#: Bytes of whole texts whose words are held at once; each word takes some 50 bytes while it is counted.
+PART = 1 << 22
 #: Votes: bad where a share is at least the second number, good where it is at most the first, else none.
 CUTS = {
     "capitals": (0.3, 0.5),  # of letters
@@ -90,6 +92,17 @@ def read_texts(texts: pa.Array) -> tuple[np.ndarray, Words]:
     return kinds, Words(join(rows, np.int64), join(hashes, np.uint64), join(solid, bool))
 
 
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in stretches of about PART bytes of ``text``, at least one row each. All that is made of them is made row by row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+        k = 0
+        while k < batch.num_rows:
+            end = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + PART, side="right")))
+            yield batch.slice(k, end - k)
+            k = end
+
+
 def shares_of(kinds: np.ndarray, words: Words, listed: np.ndarray) -> np.ndarray:
     """(rows x labellers) shares that the labellers vote on; NaN where there is nothing to vote on."""
     n = len(kinds)
@@ -220,7 +233,7 @@ def harmful_words(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, la
     drawn = known.where(point(F.col("id").cast("string")) < share * float(1 << POINT_BITS))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             _, found = read_texts(batch.column("text"))
             both = np.unique(np.stack([found.row[found.solid].astype(np.uint64), found.hash[found.solid]]), axis=1)
             bad = batch.column("bad").to_numpy(zero_copy_only=False)[both[0].astype(np.int64)]
@@ -257,7 +270,7 @@ def judge(
     listed = harmful_words(docs, labels, text, doc_id, label, labelled)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             kinds, words = read_texts(batch.column("text"))
             pattern = pattern_of(votes_of(shares_of(kinds, words, listed)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(pattern)], ["id", "pattern"])
@@ -273,7 +286,7 @@ def judge(
     posteriors = np.array([posterior.get(k, 0.0) for k in range(3 ** len(CUTS))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             kinds, words = read_texts(batch.column("text"))
             shares = shares_of(kinds, words, listed)
             row, feature = features_of(shares, words)
@@ -301,7 +314,7 @@ def judge(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learnt, base = model.value
-        for batch in batches:
+        for batch in parts_of(batches):
             kinds, words = read_texts(batch.column("text"))
             shares = shares_of(kinds, words, listed)
             row, feature = features_of(shares, words)

@@ -156,3 +156,14 @@ def test_query_posteriors_against_plain_python(spark, folder, monkeypatch):
     want = plain_judge(docs, labels, set(heard[0].tolist()))
     assert max(abs(got[i]["p_bad"] - p) for i, p in want.items()) < 1e-6
     assert all(r["keep"] == (r["score"] >= 0.5) for r in got.values())
+
+
+def test_texts_are_read_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(quality, "PART", 100)
+    texts = ["a b " * 10, None, "", "word " * 50, "x", "y" * 99, "z", "é" * 60]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    parts = list(quality.parts_of(iter([batch, batch.slice(0, 0), batch.slice(3)])))
+    assert [t for p in parts for t in p.column("text").to_pylist()] == texts + texts[3:]
+    assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column("text").to_pylist()) <= 100 for p in parts)
+    shares = lambda b: quality.votes_of(quality.shares_of(*quality.read_texts(b.column("text")), np.zeros(0, np.uint64)))
+    assert np.array_equal(np.concatenate([shares(p) for p in quality.parts_of(iter([batch]))]), shares(batch))
