@@ -103,3 +103,18 @@ def test_narrow_rows_are_scanned_once(spark, monkeypatch):
     assert len(scans) > 2
     np.testing.assert_allclose(once.values, np.linalg.svd(x)[1][:5], rtol=1e-9)
     np.testing.assert_allclose(once.vectors, each.vectors, atol=1e-6)
+
+
+def test_stored_blocks_are_small_whatever_the_rows(spark, monkeypatch):
+    """A block of long rows was megabytes, and a file's buffers were looked at after a hundred blocks."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(sparse, "dealt", lambda df: df.repartition(1))
+    x = np.random.default_rng(8).normal(size=(12_000, 200))
+    blocks = sparse.store_vectors(frame(spark, x, sparse_rows=False), "v")
+    sizes = [len(r["cells"]) // 8 for r in blocks.select("cells").collect()]
+    assert sum(sizes) == x.size and max(sizes) <= sparse.BLOCK_CELLS
+    metas = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in blocks.inputFiles()]
+    groups = [m.row_group(k).total_byte_size for m in metas for k in range(m.num_row_groups)]
+    assert len(groups) > 1 and max(groups) < 4 * int(sparse.FILES["parquet.block.size"])
+    assert spark.conf.get(sparse.BATCH_KEY) == "67108864b"
